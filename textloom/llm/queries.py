@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name -> module whose query(spark, sf_dir) gives its rows.
 MODULES = {
     "op2_packing": "packing",
+    "op5_toxicity": "toxicity",
+    "op7_quality": "quality_classifier",
     "op9_bpe": "bpe",
     "op10_quality_rules": "quality_rules",
 }
