@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name -> module whose query(spark, sf_dir) gives its rows.
 MODULES = {
     "op2_packing": "packing",
+    "op4_html": "html_extract",
     "op5_toxicity": "toxicity",
     "op7_quality": "quality_classifier",
     "op9_bpe": "bpe",
