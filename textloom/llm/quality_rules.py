@@ -10,10 +10,10 @@ not kept; a null `lang` is a language of its own; repeated rows and repeated
 doc_ids are judged row by row; an empty table gives an empty result; columns
 other than doc_id, text and lang are ignored, whatever their names.
 
-Scale: one pass over the texts gathers the references (a partial aggregate per
-language and word), another counts common words per row (explode, broadcast
-hash join with at most `MAX_LANGUAGES * COMMON_WORDS` words, partial
-aggregate). Rows meet again on a unique row id, so no key is hot.
+Scale: one pass over the texts writes the base measures, one counts words by
+language (a partial aggregate) for the references, one counts common words per
+row (explode, broadcast hash join with at most `MAX_LANGUAGES * COMMON_WORDS`
+words, partial aggregate). Rows meet again on a unique row id: no key is hot.
 """
 
 from __future__ import annotations
@@ -46,28 +46,25 @@ def _pattern(chars: str) -> str:
     return "[" + "".join(f"\\\\x{ord(c):02x}" for c in chars) + "]+"
 
 
-def _count_of(pattern: str) -> Column:
-    """Code points of `text` in runs of the pattern."""
-    return F.expr(f"cast(length(text) - length(regexp_replace(text, '{pattern}', '')) as bigint)")
-
-
 def words_of(text: str = "text") -> Column:
+    """The words `[^\\x20\\x09-\\x0D]+` of a SQL expression, in order."""
     seps = _sql_string(SEPARATORS)
     trimmed = f"trim(BOTH '{seps}' FROM {text})"
     return F.expr(f"CASE WHEN {trimmed} = '' THEN cast(array() as array<string>) ELSE split({trimmed}, '[\\\\x20\\\\x09-\\\\x0D]+') END")
 
 
-def class_counts() -> list[Column]:
-    """Code points of `text` per class; `lower` is what the other classes leave."""
-    known = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "space": SEPARATORS, "punct": PUNCTUATION, "symbol": SYMBOLS}
+def _with_classes(rows: DataFrame) -> DataFrame:
+    """rows with the code points of `text` per class; each class is removed before the next is counted."""
     lower = "abcdefghijklmnopqrstuvwxyz"
-    rest = "".join(c for c in map(chr, range(128)) if c not in lower + "".join(known.values()))
-    cols = {k: _count_of(_pattern(v)) for k, v in {**known, "ascii_other": rest}.items()} | {"wide": _count_of("[^\\\\x00-\\\\x7F]+")}
-    return [cols[c].alias(c) for c in CLASSES if c != "lower"]
-
-
-def _with_lower(df: DataFrame, total: Column) -> DataFrame:
-    return df.withColumn("lower", total - sum((F.col(c) for c in CLASSES if c != "lower"), F.lit(0)))
+    known = {"lower": lower, "space": SEPARATORS, "punct": PUNCTUATION, "upper": lower.upper(), "digit": "0123456789", "symbol": SYMBOLS}
+    rest = "".join(c for c in map(chr, range(128)) if c not in "".join(known.values()))
+    keep = rows.columns
+    left, made = "text", []
+    for k, (name, chars) in enumerate({**known, "ascii_other": rest}.items()):
+        rows = rows.select(*keep, *made, *([left] if left != "text" else []), F.expr(f"regexp_replace({left}, '{_pattern(chars)}', '')").alias(f"left{k}"))
+        rows = rows.select(*keep, *made, f"left{k}", F.expr(f"cast(length({left}) - length(left{k}) as bigint)").alias(name))
+        left, made = f"left{k}", [*made, name]
+    return rows.select(*keep, *made, F.length(left).cast("long").alias("wide"))
 
 
 def _repeat_words() -> Column:
@@ -86,41 +83,38 @@ def _repeat_words() -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Per row: uid, doc_id and the base measures."""
+    """Per row: uid, doc_id, lang, the base measures, n_points and the class counts."""
     seps, text = _sql_string(SEPARATORS), F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("uid", "doc_id", text.alias("text")).select("uid", "doc_id", "text", words_of().alias("words"))
-    lines = f"filter(split(text, '\\n', -1), x -> translate(x, '{seps}', '') <> '')"
-    rows = rows.select("uid", "doc_id", "text", "words", F.size("words").cast("long").alias("n_words"), F.expr(lines).alias("lines"), *class_counts())
-    rows = _with_lower(rows, F.length("text"))
-    return rows.select("uid", "doc_id", "n_words", (F.length("text") - F.col("space")).cast("long").alias("word_chars"), F.col("symbol").alias("n_symbols"),
+    rows = _with_classes(docs.select("uid", "doc_id", "lang", text.alias("text")))
+    lines = f"filter(split(text, '\n', -1), x -> trim(BOTH '{seps}' FROM x) <> '')"
+    rows = rows.select("*", words_of().alias("words"), F.expr(lines).alias("lines")).withColumn("n_words", F.size("words").cast("long"))
+    return rows.select("uid", "doc_id", "lang", "n_words", (F.length("text") - F.col("space")).cast("long").alias("word_chars"), F.col("symbol").alias("n_symbols"),
                        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), _repeat_words(), F.length("text").alias("n_points"), *CLASSES)
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """uid, lang, n (words of the row) and w: each word lower-cased, ASCII punctuation and symbols stripped from its ends ('' if nothing is left)."""
-    rows = docs.select("uid", "lang", words_of("coalesce(text, '')").alias("words")).select("uid", "lang", F.size("words").alias("n"), F.explode("words").alias("w"))
-    marks = _sql_string("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()))
-    return rows.select("uid", "lang", "n", F.expr(f"trim(BOTH '{marks}' FROM lower(w))").alias("w"))
-
-
-def references(docs: DataFrame) -> list[dict]:
-    """Per language, over all documents: class shares, the commonest words and their shares. Small: at most MAX_LANGUAGES rows."""
-    known = docs.select("uid", "lang", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    chars = _with_lower(known.select("lang", F.length("text").alias("points"), *class_counts()), F.col("points")).groupBy("lang").agg(F.count("*").alias("docs"), *(F.sum(c).alias(c) for c in CLASSES))
-    kept = {r["lang"]: r for r in chars.orderBy(F.desc("docs"), F.asc_nulls_first("lang")).limit(MAX_LANGUAGES).collect()}
-    counts = cut(_tokens(docs).groupBy("lang", "w").agg(F.count("*").alias("c")), "words")
-    letterless = F.col("w") == ""
+    """uid, lang and w: each lower-cased word."""
+    return docs.select("uid", "lang", F.explode(words_of("lower(coalesce(text, ''))")).alias("w"))
+
+
+def references(rows: DataFrame, tokens: DataFrame) -> list[dict]:
+    """Per language, over all documents: class shares, the commonest words and their shares. Small: at most MAX_LANGUAGES rows.
+
+    rows: base_counts(); tokens: _tokens().
+    """
+    sums = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n"), *(F.sum(c).alias(c) for c in CLASSES))
+    kept = {r["lang"]: r for r in sums.orderBy(F.desc("docs"), F.asc_nulls_first("lang")).limit(MAX_LANGUAGES).collect()}
+    counts = tokens.groupBy("lang", "w").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "w"))
-    totals = {r["lang"]: r for r in counts.groupBy("lang").agg(F.sum("c").alias("n"), F.sum(F.when(letterless, F.col("c")).otherwise(0)).alias("bare")).orderBy(F.desc("n")).limit(4 * MAX_LANGUAGES).collect()}
-    best = counts.filter(~letterless).withColumn("r", rank).filter(F.col("r") <= COMMON_WORDS).filter(F.col("lang").isNull() | F.col("lang").isin([x for x in kept if x is not None]))
+    best = counts.withColumn("r", rank).filter(F.col("r") <= COMMON_WORDS).filter(F.col("lang").isNull() | F.col("lang").isin([x for x in kept if x is not None]))
     words: dict = {}
     for r in best.orderBy("lang", "r").collect():
         words.setdefault(r["lang"], []).append((r["w"], r["c"]))
     out = []
     for lang in sorted(kept, key=lambda x: (x is not None, x)):
-        if lang in words and lang in totals and (points := sum(kept[lang][c] for c in CLASSES)):
-            n = totals[lang]["n"]
-            out.append({"lang": lang, "chars": [kept[lang][c] / points for c in CLASSES], "words": [(w, c / n) for w, c in words[lang]], "bare": totals[lang]["bare"] / n, "other": (n - totals[lang]["bare"] - sum(c for _, c in words[lang])) / n})
+        if lang in words and (points := sum(kept[lang][c] for c in CLASSES)):
+            n = kept[lang]["n"]
+            out.append({"lang": lang, "chars": [kept[lang][c] / points for c in CLASSES], "words": [(w, c / n) for w, c in words[lang]], "other": (n - sum(c for _, c in words[lang])) / n})
     return out
 
 
@@ -139,26 +133,23 @@ def judge(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, chars_distance, words_distance."""
     docs = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "lang")
     spark = docs.sparkSession
-    refs = references(docs)
-    rows = base_counts(docs)
+    rows = cut(base_counts(docs), "base")
+    refs = references(rows, _tokens(docs))
     points = F.greatest(F.col("n_points"), F.lit(1)).cast("double")
     near = [_distance(sum((_term(F.col(c) / points, q) for c, q in zip(CLASSES, r["chars"])), F.lit(0.0))) for r in refs]
     rows = rows.withColumn("chars_distance", F.when(F.col("n_points") > 0, F.least(*near, F.lit(1.0)) if near else F.lit(1.0)).otherwise(1.0))
     vocabulary = spark.createDataFrame([(k, w, q) for k, r in enumerate(refs) for w, q in r["words"]] or [(-1, "", 0.0)], "ref int, w string, q double")
-    # common words and words without a letter or digit; every other word only adds to n
-    known = _tokens(docs).select("uid", "n", "w").join(F.broadcast(vocabulary.select("w").distinct().union(spark.createDataFrame([("",)], "w string"))), "w")
-    counts = known.groupBy("uid", "n", "w").agg(F.count("*").alias("c"))
-    per_ref = counts.join(F.broadcast(vocabulary), "w", "left").groupBy("uid", "n", "ref").agg(
-        F.sum(_term(F.col("c") / F.col("n"), F.col("q"))).alias("terms"), F.sum("c").alias("common"))
-    per_row = per_ref.groupBy("uid").agg(F.max(F.when(F.col("ref").isNull(), F.col("common"))).alias("bare"), F.collect_list(F.when(F.col("ref").isNotNull(), F.struct("ref", "terms", "common"))).alias("found"))
+    counts = _tokens(docs).join(F.broadcast(vocabulary.select("w").distinct()), "w").groupBy("uid", "w").agg(F.count("*").alias("c"))
+    counts = counts.join(rows.select("uid", "n_words"), "uid")
+    per_row = counts.join(F.broadcast(vocabulary), "w").groupBy("uid", "ref").agg(F.sum(_term(F.col("c") / F.col("n_words"), F.col("q"))).alias("terms"), F.sum("c").alias("common"))
+    per_row = per_row.groupBy("uid").agg(F.collect_list(F.struct("ref", "terms", "common")).alias("found"))
     rows = rows.join(per_row, "uid", "left")
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    bare = F.coalesce(F.col("bare"), F.lit(0))
     word_distances = []
     for k, r in enumerate(refs):
         hit = F.expr(f"get(filter(found, x -> x.ref = {k}), 0)")
         terms, common = F.coalesce(hit["terms"], F.lit(0.0)), F.coalesce(hit["common"], F.lit(0))
-        word_distances.append(_distance(terms + _term(bare / n, r["bare"]) + _term((F.col("n_words") - bare - common) / n, r["other"])))
+        word_distances.append(_distance(terms + _term((F.col("n_words") - common) / n, r["other"])))
     nearest = F.least(*word_distances, F.lit(1.0)) if word_distances else F.lit(1.0)
     rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, nearest).otherwise(1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
