@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query name -> module whose query(spark, sf_dir) gives its rows.
 MODULES = {
+    "op1_ngram_join": "ngram_join",
     "op2_packing": "packing",
     "op4_html": "html_extract",
     "op5_toxicity": "toxicity",
+    "op6_fingerprint": "fingerprint",
     "op7_quality": "quality_classifier",
+    "op8_licenses": "license_scan",
     "op9_bpe": "bpe",
     "op10_quality_rules": "quality_rules",
 }
