@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_ngram_join": "ngram_join",
     "op2_packing": "packing",
+    "op3_suffix_dedup": "suffix_dedup",
     "op4_html": "html_extract",
     "op5_toxicity": "toxicity",
     "op6_fingerprint": "fingerprint",
