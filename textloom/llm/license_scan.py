@@ -61,7 +61,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
     """doc_id, license, score, matches (sentences that reach `least`), licenses (distinct, sorted) of every row."""
     rows, low, high = _template_rows(templates or TEMPLATES, least)
     known = docs.sparkSession.createDataFrame(rows, "t int, license string, bigram string, t_size int")
-    base = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
+    # a row is known by doc_id and a hash of its text: scans need not agree on an order
+    base = docs.select(F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")).alias("uid"), "doc_id", "text")
     sentences = base.select("uid", F.posexplode(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SENTENCE)).alias("place", "s"))
     words = sentences.select("uid", "place", F.split(F.trim(F.regexp_replace("s", _DROP, " ")), " +").alias("w"))
     words = words.withColumn("w", F.expr("filter(transform(w, x -> trim(BOTH '.+' FROM x)), x -> x <> '')")).filter(F.size("w") > 0)
@@ -71,7 +72,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
     bigrams = words.select("uid", "place", pairs.alias("b")).select("uid", "place", F.size("b").alias("size"), F.explode("b").alias("bigram"))
     ratio = least / (2 - least)
     near = bigrams.join(F.broadcast(known), "bigram").filter((F.col("size") >= ratio * F.col("t_size")) & (F.col("t_size") >= ratio * F.col("size")))
-    counts = near.groupBy("uid", "place", "size", "t", "license", "t_size").agg(F.count("*").alias("common"))
+    counts = near.groupBy("uid", "place", "size", "t", "license", "t_size").agg(F.count_distinct("bigram").alias("common"))
     scored = counts.withColumn("score", 2.0 * F.col("common") / (F.col("size") + F.col("t_size"))).filter(F.col("score") >= least)
     best = scored.groupBy("uid").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("best"), F.countDistinct("place").alias("matches"), F.array_sort(F.collect_set("license")).alias("licenses"))
     out = base.select("uid", "doc_id").join(best, "uid", "left")

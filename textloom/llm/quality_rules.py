@@ -13,7 +13,8 @@ other than doc_id, text and lang are ignored, whatever their names.
 Scale: one pass over the texts writes the base measures, one counts words by
 language (a partial aggregate) for the references, one counts common words per
 row (explode, broadcast hash join with at most `MAX_LANGUAGES * COMMON_WORDS`
-words, partial aggregate). Rows meet again on a unique row id: no key is hot.
+words, partial aggregate). Rows meet again on doc_id and a hash of the text; rows
+that repeat in both share their counts, so no scan has to number rows.
 """
 
 from __future__ import annotations
@@ -83,18 +84,18 @@ def _repeat_words() -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Per row: uid, doc_id, lang, the base measures, n_points and the class counts."""
+    """Per row: id, tie, doc_id, lang, the base measures, n_points and the class counts."""
     seps, text = _sql_string(SEPARATORS), F.coalesce(F.col("text"), F.lit(""))
-    rows = _with_classes(docs.select("uid", "doc_id", "lang", text.alias("text")))
+    rows = _with_classes(docs.select("id", "tie", "doc_id", "lang", text.alias("text")))
     lines = f"filter(split(text, '\n', -1), x -> trim(BOTH '{seps}' FROM x) <> '')"
     rows = rows.select("*", words_of().alias("words"), F.expr(lines).alias("lines")).withColumn("n_words", F.size("words").cast("long"))
-    return rows.select("uid", "doc_id", "lang", "n_words", (F.length("text") - F.col("space")).cast("long").alias("word_chars"), F.col("symbol").alias("n_symbols"),
+    return rows.select("id", "tie", "doc_id", "lang", "n_words", (F.length("text") - F.col("space")).cast("long").alias("word_chars"), F.col("symbol").alias("n_symbols"),
                        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), _repeat_words(), F.length("text").alias("n_points"), *CLASSES)
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """uid, lang and w: each lower-cased word."""
-    return docs.select("uid", "lang", F.explode(words_of("lower(coalesce(text, ''))")).alias("w"))
+    """id, tie, lang and w: each lower-cased word."""
+    return docs.select("id", "tie", "lang", F.explode(words_of("lower(coalesce(text, ''))")).alias("w"))
 
 
 def references(rows: DataFrame, tokens: DataFrame) -> list[dict]:
@@ -129,9 +130,10 @@ def _distance(terms: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), (terms + 1.0) / 2))
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, chars_distance, words_distance."""
-    docs = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "lang")
+    # a row is known by doc_id and a hash of its text: scans need not agree on an order
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"), "doc_id", "text", "lang")
     spark = docs.sparkSession
     rows = cut(base_counts(docs), "base")
     refs = references(rows, _tokens(docs))
@@ -139,11 +141,13 @@ def judge(docs: DataFrame) -> DataFrame:
     near = [_distance(sum((_term(F.col(c) / points, q) for c, q in zip(CLASSES, r["chars"])), F.lit(0.0))) for r in refs]
     rows = rows.withColumn("chars_distance", F.when(F.col("n_points") > 0, F.least(*near, F.lit(1.0)) if near else F.lit(1.0)).otherwise(1.0))
     vocabulary = spark.createDataFrame([(k, w, q) for k, r in enumerate(refs) for w, q in r["words"]] or [(-1, "", 0.0)], "ref int, w string, q double")
-    counts = _tokens(docs).join(F.broadcast(vocabulary.select("w").distinct()), "w").groupBy("uid", "w").agg(F.count("*").alias("c"))
-    counts = counts.join(rows.select("uid", "n_words"), "uid")
-    per_row = counts.join(F.broadcast(vocabulary), "w").groupBy("uid", "ref").agg(F.sum(_term(F.col("c") / F.col("n_words"), F.col("q"))).alias("terms"), F.sum("c").alias("common"))
-    per_row = per_row.groupBy("uid").agg(F.collect_list(F.struct("ref", "terms", "common")).alias("found"))
-    rows = rows.join(per_row, "uid", "left")
+    counts = _tokens(docs).join(F.broadcast(vocabulary.select("w").distinct()), "w").groupBy("id", "tie", "w").agg(F.count("*").alias("c"))
+    # repeated rows count their words together
+    sizes = rows.groupBy("id", "tie").agg(F.sum("n_words").alias("words"), F.count("*").alias("times"))
+    counts = counts.join(sizes, ["id", "tie"])
+    per_row = counts.join(F.broadcast(vocabulary), "w").groupBy("id", "tie", "ref").agg(F.sum(_term(F.col("c") / F.col("words"), F.col("q"))).alias("terms"), F.sum(F.col("c") / F.col("times")).cast("long").alias("common"))
+    per_row = per_row.groupBy("id", "tie").agg(F.collect_list(F.struct("ref", "terms", "common")).alias("found"))
+    rows = rows.join(per_row, ["id", "tie"], "left")
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     word_distances = []
     for k, r in enumerate(refs):
@@ -154,7 +158,14 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, nearest).otherwise(1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     far = ((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & (F.col("words_distance") > MAX_WORDS_DISTANCE))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "chars_distance", "words_distance")
+    return rows.select(*(["id", "tie"] if keys else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "chars_distance", "words_distance")
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that the rules keep."""
+    good = judge(docs, keys=True).filter("kept").select(F.col("id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct()
+    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) == F.col("kept_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("kept_tie"))
+    return docs.join(good, same, "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
