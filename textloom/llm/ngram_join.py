@@ -297,5 +297,15 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
     return named.join(names, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "copies", F.col("id").alias("row_id"), F.col("component").alias("component_row"))
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, of one document for each component: that of the smallest doc_id."""
+    if _numbered(docs)[1]:
+        kept = join(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+        return docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    known = cut(docs.select("*", F.monotonically_increasing_id().alias("row number")), "numbered")
+    kept = join(known.select(F.col("row number").alias("doc_id"), "text")).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+    return known.join(kept, F.col("row number") == F.col("kept_id"), "left_semi").drop("row number")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))

@@ -207,18 +207,19 @@ def longest_previous_factors(parts: list[np.ndarray], most: int = 128) -> list[n
 # --- the corpus ----------------------------------------------------------------
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """id, doc_id, text in order of id; whether id is doc_id itself (never null, never twice)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+def numbered(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, bool]:
+    """id, doc_id, text, rest (a struct of the columns `carry`) in order of id; whether id is doc_id itself (never null, never twice)."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.lit(None).cast("boolean")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), rest.alias("rest"))
     if docs.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 or doc_id is null").isEmpty():
-        return docs.select(F.col("doc_id").alias("id"), "doc_id", "text"), True
+        return docs.select(F.col("doc_id").alias("id"), "doc_id", "text", "rest"), True
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.withColumn("tie", F.sha2("text", 256)).repartitionByRange(parts, F.asc_nulls_first("doc_id"), "tie").withColumn("part", F.spark_partition_id())
     keyed = cut(keyed, "ordered")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     firsts = keyed.groupBy("part").agg(F.count("*").alias("c")).select("part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "tie"))
-    return cut(keyed.withColumn("place", place).join(F.broadcast(firsts), "part").select((F.col("before") + F.col("place")).cast("long").alias("id"), "doc_id", "text"), "numbered"), False
+    return cut(keyed.withColumn("place", place).join(F.broadcast(firsts), "part").select((F.col("before") + F.col("place")).cast("long").alias("id"), "doc_id", "text", "rest"), "numbered"), False
 
 
 def _bit_table(hashes: DataFrame, bits: int, column: str) -> np.ndarray:
@@ -390,13 +391,6 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     return whole.union(_earlier(texts, length))
 
 
-def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(id, doc_id, text; id, starts, counts): the corpus and, per document that has any, its places to remove."""
-    rows, _ = numbered(docs)
-    found = repeated(rows, length, gram)
-    return rows, found.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("places")).select("id", "places.start", "places.count")
-
-
 def covered(size: int, starts: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
     """Which bytes the strings from these places cover."""
     edge = np.zeros(size + 1, dtype=np.int32)
@@ -405,9 +399,10 @@ def covered(size: int, starts: np.ndarray, counts: np.ndarray, length: int) -> n
     return np.cumsum(edge[:size]) > 0
 
 
-def _kept(docs: DataFrame, length: int, gram: int, columns: str, finish) -> DataFrame:
-    """finish(doc_id, bytes, what to remove) for every row, as `columns`."""
-    rows, places = spans(docs, length, gram)
+def _kept(docs: DataFrame, length: int, gram: int, columns: str, finish, carry: tuple[str, ...] = ()) -> DataFrame:
+    """finish(doc_id, bytes, what to remove) for every row, as `columns`, and rest."""
+    rows, _ = numbered(docs, carry)
+    places = repeated(rows, length, gram).groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("places")).select("id", "places.start", "places.count")
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,10 +413,10 @@ def _kept(docs: DataFrame, length: int, gram: int, columns: str, finish) -> Data
                 gone = covered(len(data), np.array(start, dtype=np.int64), np.array(count, dtype=np.int64), length) if start else np.zeros(len(data), bool)
                 out.append(finish(doc_id, data, gone))
             types = [{"long": pa.int64(), "string": pa.string()}[c.split()[1]] for c in columns.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(names), types)], names)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(names), types)), batch.column("rest")], [*names, "rest"])
 
     joined = rows.join(places.hint("shuffle_hash"), "id", "left")
-    return joined.select("doc_id", "text", "start", "count").mapInArrow(run, columns)
+    return joined.select("doc_id", "text", "start", "count", "rest").mapInArrow(run, f"{columns}, rest {rows.schema['rest'].dataType.simpleString()}")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -431,16 +426,19 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
         spans_ = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
         return doc_id, len(data), int(gone.sum()), spans_, hashlib.sha256(data[~gone].tobytes()).hexdigest()
 
-    return _kept(docs, length, gram, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", finish)
+    return _kept(docs, length, gram, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", finish).drop("rest")
 
 
 def kept_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, kept: each row's text without what starts earlier elsewhere; a character that a cut broke is dropped."""
+    """docs with each text cut down to what no earlier place has; a character that a cut broke is dropped. n_chars, where there is one, follows."""
 
     def finish(doc_id, data: np.ndarray, gone: np.ndarray) -> tuple:
         return doc_id, data[~gone].tobytes().decode("utf-8", "ignore")
 
-    return _kept(docs, length, gram, "doc_id long, kept string", finish)
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = _kept(docs, length, gram, "doc_id long, text string", finish, others)
+    own = {c: F.length("text").cast(docs.schema[c].dataType) if c == "n_chars" else F.col("rest")[c] for c in others}
+    return found.select(*(own[c].alias(c) if c in own else F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
