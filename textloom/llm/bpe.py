@@ -149,19 +149,18 @@ class Vocabulary:
 
     def _automaton(self, ids: dict[bytes, int]) -> None:
         """States are prefixes of tokens; next state by (state, byte), longest token that ends a state, next shorter one."""
-        children: list[dict[int, int]] = [{}]
+        children: dict[int, list[tuple[int, int]]] = {}
+        known: dict[bytes, int] = {b"": 0}
         token_at = [-1]
         for b, i in ids.items():
-            s = 0
-            for c in b:
-                t = children[s].get(c)
-                if t is None:
-                    t = children[s][c] = len(children)
-                    children.append({})
+            for k in range(1, len(b) + 1):
+                if b[:k] not in known:
+                    known[b[:k]] = len(token_at)
+                    children.setdefault(known[b[: k - 1]], []).append((b[k - 1], len(token_at)))
                     token_at.append(-1)
-                s = t
-            token_at[s] = i
-        n = len(children)
+            token_at[known[b]] = i
+        del known
+        n = len(token_at)
         go = np.zeros((n, 256), dtype=np.int32)
         longest = np.full(n, -1, dtype=np.int64)
         shorter = np.full(self.size, -1, dtype=np.int64)
@@ -178,10 +177,10 @@ class Vocabulary:
                     longest[s], shorter[t] = t, longest[f]
                 else:
                     longest[s] = longest[f]
-                for c, k in children[s].items():
+                for c, k in children.get(s, ()):
                     fail[k] = int(go[s, c]) if s else 0
                     below.append(k)
-                for c, k in children[s].items():
+                for c, k in children.get(s, ()):
                     go[s, c] = k
             level = below
         self.go, self.longest, self.shorter = go, longest, shorter
@@ -337,7 +336,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encode_batch(batch: pa.RecordBatch, path: str, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, bytes, byte offsets, ids, id offsets) of the batch's slices."""
-    for part in vec.slices(batch, column, 4 * vec.SLICE_BYTES):
+    for part in vec.slices(batch, column):
         data, offsets = vec.buffers(part.column(column))
         yield part, data, offsets, *vocabulary(path).encode_column(data, offsets)
 

@@ -13,7 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 SEPARATORS = " \t\n\x0b\x0c\r"
 
 
+#: Rows of one Arrow batch: documents are long, and a batch exists in the JVM and in Python at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session hold at most BATCH_ROWS rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
