@@ -51,8 +51,8 @@ BLOCK_BYTES = 1 << 17
 PLACE_BITS = 20
 #: Bytes of run texts that one suffix array is built of, if no single anchor has more.
 ARRAY_BYTES = 1 << 18
-#: Bits of the table of anchors whose texts are needed: at least, for each anchor, at most (as powers of two).
-FILTER_BITS = (20, 16, 27)
+#: Bits of the table of runs whose texts are needed: at least (as a power of two), for each run, at most (as a power of two).
+FILTER_BITS = (20, 32, 27)
 
 
 def block_slices(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -147,7 +147,7 @@ def _ranks(parts: list[np.ndarray], most: int) -> dict[int, np.ndarray]:
         r = rank[width]
         pair = r * (int(r.max()) + 2)
         pair[:-width] += r[width:] + 1
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         step = np.ones(total, dtype=np.int64)
         step[1:] = pair[order[1:]] != pair[order[:-1]]
         step[0] = 0
@@ -160,8 +160,8 @@ def _ranks(parts: list[np.ndarray], most: int) -> dict[int, np.ndarray]:
     return rank
 
 
-def longest_previous_factors(parts: list[np.ndarray], most: int = 128) -> list[np.ndarray]:
-    """For each byte of each text, the length (up to `most`) of the longest string from it that also starts at an earlier place of the texts, read in order.
+def longest_previous_factors(parts: list[np.ndarray], most: int = 128, counts: list[int] | None = None) -> list[np.ndarray]:
+    """For each byte of each text (or of its first counts[k], the others left 0), the length (up to `most`) of the longest string from it that also starts at an earlier place of the texts, read in order.
 
     Suffix order comes from prefix doubling up to `most` bytes, equal ones by place;
     of the smaller places nearest in suffix order on either side, one has the longest
@@ -172,7 +172,7 @@ def longest_previous_factors(parts: list[np.ndarray], most: int = 128) -> list[n
     rank = _ranks(parts, most)
     top = max(rank)
     n = len(rank[1])
-    order = np.argsort(rank[top], kind="stable")  # place of the k-th suffix
+    order = np.argsort(rank[top] * n + np.arange(n))  # place of the k-th suffix; equal ones by place
 
     def nearest_smaller(seq: np.ndarray) -> np.ndarray:
         """Index of the nearest earlier entry that is smaller, or -1; by jumping over what is larger."""
@@ -185,9 +185,17 @@ def longest_previous_factors(parts: list[np.ndarray], most: int = 128) -> list[n
         return before
 
     found = np.zeros(n, dtype=np.int64)
+    wanted = np.ones(n, dtype=bool)
+    if counts is not None:
+        edge = np.zeros(n + 1, dtype=np.int32)
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        begin = np.append(0, ends[:-1])
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, begin + np.array(counts), -1)
+        wanted = np.cumsum(edge[:n]) > 0
     for seq in (order, order[::-1]):
         near = nearest_smaller(seq)
-        has = np.flatnonzero(near >= 0)
+        has = np.flatnonzero((near >= 0) & wanted[seq])
         a, b = seq[has], seq[near[has]]
         same = np.zeros(len(a), dtype=np.int64)
         for width in sorted(rank, reverse=True):
@@ -260,6 +268,11 @@ def _common(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     return _bit_table(best, COMMON_BITS, "key")
 
 
+def _run_hashes(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """63-bit hashes of runs' places."""
+    return vec.mix(vec.mix(ids.astype(np.uint64)) ^ start.astype(np.uint64)) >> np.uint64(1)
+
+
 def _run_rows(docs: DataFrame, common, length: int, gram: int) -> DataFrame:
     """key, text_hash, id, start, count of every run."""
 
@@ -274,7 +287,7 @@ def _run_rows(docs: DataFrame, common, length: int, gram: int) -> DataFrame:
 
 
 def _sorted_runs(rows: DataFrame) -> DataFrame:
-    """Of run rows, those whose key has others: again (an equal text came earlier in the corpus), or else the first of its text, where its key has several."""
+    """id, start, count, again, place (a hash) of the runs whose key has others: again (an equal text came earlier in the corpus), or else the first of its text, where its key has several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "text_hash", "id", "start", "count"]
@@ -313,21 +326,22 @@ def _sorted_runs(rows: DataFrame) -> DataFrame:
             last = (key[-1], text[-1])
             columns = [np.concatenate([np.array([e[c] for e in extra], dtype=np.int64), x[keep]]) for c, x in enumerate((key, text, ids, start, count))]
             again = np.concatenate([np.zeros(len(extra), bool), ~new_text[keep]])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.array(again)], [*names, "again"])
+            place = _run_hashes(columns[2], columns[3]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns[2:]), pa.array(again), pa.array(place)], ["id", "start", "count", "again", "place"])
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "text_hash", "id", "start")
-    return ordered.mapInArrow(run, "key long, text_hash long, id long, start long, count long, again boolean")
+    return ordered.mapInArrow(run, "id long, start long, count long, again boolean, place long")
 
 
 def _run_texts(docs: DataFrame, common, wanted, bits: int, length: int, gram: int) -> DataFrame:
-    """key, id, start, count, bytes of the runs whose anchor may be wanted."""
+    """key, id, start, count, bytes of the runs that may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = wanted.value
         for batch in batches:
             for data, offsets, ids, base in block_slices(batch, length):
                 doc, start, count, key, _ = runs(data, offsets, common.value, length, gram)
-                at = ((key & np.uint64((1 << 63) - 1)) >> np.uint64(63 - bits)).astype(np.int64)
+                at = (_run_hashes(ids[doc], start - offsets[doc] + base[doc]) >> np.uint64(63 - bits)).astype(np.int64)
                 keep = np.flatnonzero((table_[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
                 texts = [data[a : a + c + length - 1].tobytes() for a, c in zip(start[keep].tolist(), count[keep].tolist())]
                 doc = doc[keep]
@@ -341,7 +355,7 @@ def _earlier(texts: DataFrame, length: int) -> DataFrame:
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         rows.sort(key=lambda r: (r[1], r[2]))  # an earlier place of the corpus is an earlier place of the array
-        factors = longest_previous_factors([np.frombuffer(r[4], dtype=np.uint8) for r in rows], 128 if length <= 128 else 1 << (length - 1).bit_length())
+        factors = longest_previous_factors([np.frombuffer(r[4], dtype=np.uint8) for r in rows], 128 if length <= 128 else 1 << (length - 1).bit_length(), [r[3] for r in rows])
         out: list[tuple[int, int, int]] = []
         for (_, i, start, count, _), f in zip(rows, factors):
             hit = np.flatnonzero(f[:count] >= length)
@@ -386,7 +400,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     if not n:
         return whole
     bits = min(FILTER_BITS[2], max(FILTER_BITS[0], (FILTER_BITS[1] * n).bit_length()))
-    wanted = spark.sparkContext.broadcast(_bit_table(firsts.select(F.expr("key & 9223372036854775807").alias("key")), bits, "key"))
+    wanted = spark.sparkContext.broadcast(_bit_table(firsts.select("place"), bits, "place"))
     texts = _run_texts(docs, common, wanted, bits, length, gram)
     return whole.union(_earlier(texts, length))
 
