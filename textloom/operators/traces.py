@@ -10,9 +10,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ESCALATIONS = ["hint_requested", "hint_shown", "explanation_requested", "explanation_shown", "escalation_triggered"]
-ORDER = Window.partitionBy("trace_id").orderBy("seq")
-SO_FAR = ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-BEFORE = ORDER.rowsBetween(Window.unboundedPreceding, -1)
+
+def order():
+    return Window.partitionBy("trace_id").orderBy("seq")
+
+
+def so_far():
+    return order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def before():
+    return order().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def traces(events: DataFrame) -> DataFrame:
@@ -41,8 +49,8 @@ def is_escalation() -> Column:
     return F.col("event_type").isin(ESCALATIONS)
 
 
-def _count(c: Column, frame=SO_FAR) -> Column:
-    return F.sum(F.when(c, 1).otherwise(0)).over(frame)
+def _count(c: Column) -> Column:
+    return F.sum(F.when(c, 1).otherwise(0)).over(so_far())
 
 
 def learner_state(rows: DataFrame) -> DataFrame:
@@ -56,18 +64,18 @@ def learner_state(rows: DataFrame) -> DataFrame:
     in_group = Window.partitionBy("trace_id", "grp").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("consecutive_errors", F.sum(F.when(is_error(), 1).otherwise(0)).over(in_group))
     rows = rows.withColumns({
-        "run_before": F.coalesce(F.lag("consecutive_errors").over(ORDER), F.lit(0)),
-        "last_subtype": F.last("error_subtype", ignorenulls=True).over(BEFORE),
-        "subtypes": F.slice(F.reverse(F.collect_list("error_subtype").over(SO_FAR)), 1, 3),
+        "run_before": F.coalesce(F.lag("consecutive_errors").over(order()), F.lit(0)),
+        "last_subtype": F.last("error_subtype", ignorenulls=True).over(before()),
+        "subtypes": F.slice(F.reverse(F.collect_list("error_subtype").over(so_far())), 1, 3),
     })
     return rows.withColumns({
         "total_errors": _count(is_error()),
         "hints_requested": _count(F.col("event_type").isin("hint_requested", "hint_shown")),
         "explanations_shown": _count(F.col("event_type") == "explanation_shown"),
         "recoveries": _count(solved & (F.col("run_before") > 0)),
-        "repeated": F.max(F.when(is_error() & F.coalesce(F.col("last_subtype") == F.col("error_subtype"), F.lit(False)), 1).otherwise(0)).over(SO_FAR) == 1,
-        "stuck": F.coalesce(F.last(F.when(F.col("time_stuck") != 0, F.col("time_stuck")), ignorenulls=True).over(SO_FAR), F.lit(0.0)),
-        "concepts": F.size(F.collect_set("concept_id").over(SO_FAR)),
+        "repeated": F.max(F.when(is_error() & F.coalesce(F.col("last_subtype") == F.col("error_subtype"), F.lit(False)), 1).otherwise(0)).over(so_far()) == 1,
+        "stuck": F.coalesce(F.last(F.when(F.col("time_stuck") != 0, F.col("time_stuck")), ignorenulls=True).over(so_far()), F.lit(0.0)),
+        "concepts": F.size(F.collect_set("concept_id").over(so_far())),
         "same_three": is_error() & (F.size(F.filter("subtypes", lambda x: x == F.col("error_subtype"))) >= 3),
     }).drop("run_before", "last_subtype", "subtypes", "grp")
 
@@ -138,8 +146,8 @@ def decide(state: DataFrame, policies: dict | None = None) -> DataFrame:
 
 def replay(rows: DataFrame, policies: dict | None = None) -> DataFrame:
     """Decision points: events where a policy acts, or that escalate themselves; a concept with three errors so far violates its prerequisites."""
-    so_far = Window.partitionBy("trace_id", "concept_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = learner_state(rows).withColumn("violation", F.sum(F.when(is_error(), 1).otherwise(0)).over(so_far) >= 3)
+    on_concept = Window.partitionBy("trace_id", "concept_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = learner_state(rows).withColumn("violation", F.sum(F.when(is_error(), 1).otherwise(0)).over(on_concept) >= 3)
     return decide(state, policies).filter((F.col("action") != "wait") | is_escalation())
 
 
@@ -158,9 +166,9 @@ def hint_dependency(rows: DataFrame) -> DataFrame:
     """trace_id, hdi and its parts."""
     t = F.col("event_type")
     marks = rows.withColumns({
-        "explained": F.max(F.when(t == "explanation_shown", 1).otherwise(0)).over(BEFORE),
+        "explained": F.max(F.when(t == "explanation_shown", 1).otherwise(0)).over(before()),
         # 1: an error still open, 0: closed by a hint or a solution
-        "open": F.last(F.when(is_error(), 1).when(t.isin("hint_requested", "problem_solved"), 0), ignorenulls=True).over(BEFORE),
+        "open": F.last(F.when(is_error(), 1).when(t.isin("hint_requested", "problem_solved"), 0), ignorenulls=True).over(before()),
     })
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     sums = marks.groupBy("trace_id").agg(
@@ -175,8 +183,8 @@ def hint_dependency(rows: DataFrame) -> DataFrame:
 
 def cognitive_strain(rows: DataFrame) -> DataFrame:
     """trace_id, csi: bursts of errors, rapid actions, pauses before help, help per problem and the longest run of errors."""
-    errors_only = F.last(F.when(is_error(), F.col("t")), ignorenulls=True).over(BEFORE)
-    rows = rows.withColumns({"prev_error": errors_only, "prev": F.lag("t").over(ORDER), "grp": _count(~is_error() & (F.col("event_type") == "problem_solved"))})
+    errors_only = F.last(F.when(is_error(), F.col("t")), ignorenulls=True).over(before())
+    rows = rows.withColumns({"prev_error": errors_only, "prev": F.lag("t").over(order()), "grp": _count(~is_error() & (F.col("event_type") == "problem_solved"))})
     run = F.sum(is_error().cast("int")).over(Window.partitionBy("trace_id", "grp"))
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     sums = rows.withColumn("run", run).groupBy("trace_id").agg(
@@ -191,8 +199,8 @@ def cognitive_strain(rows: DataFrame) -> DataFrame:
 def persistence(rows: DataFrame) -> DataFrame:
     """trace_id, score, longest repeat of one subtype among the errors (a single error does not count), subtypes."""
     errors = rows.filter(is_error())
-    new = F.when(F.lag("error_subtype").over(ORDER) == F.col("error_subtype"), 0).otherwise(1)
-    runs = errors.withColumn("new", new).withColumn("grp", F.sum("new").over(SO_FAR)).groupBy("trace_id", "grp").agg(F.count("*").alias("n"), F.first("error_subtype").alias("s"))
+    new = F.when(F.lag("error_subtype").over(order()) == F.col("error_subtype"), 0).otherwise(1)
+    runs = errors.withColumn("new", new).withColumn("grp", F.sum("new").over(so_far())).groupBy("trace_id", "grp").agg(F.count("*").alias("n"), F.first("error_subtype").alias("s"))
     found = runs.groupBy("trace_id").agg(F.max(F.when(F.col("n") >= 2, F.col("n")).otherwise(0)).alias("longest"), F.count_distinct("s").alias("subtypes"))
     every = rows.select("trace_id").distinct().join(found, "trace_id", "left").na.fill(0, ["longest", "subtypes"])
     return every.select("trace_id", F.round(F.least(F.col("longest") / 5.0, F.lit(1.0)), 4).alias("score"), "longest", "subtypes")
@@ -218,12 +226,12 @@ def time_to_success(rows: DataFrame) -> DataFrame:
 def productive_struggle(rows: DataFrame) -> DataFrame:
     """trace_id, aps: from a neutral half, recoveries add; repeats, hasty help, leaving problems, idling and bursts take away."""
     t, time = F.col("event_type"), F.col("t")
-    solved_so_far = F.collect_set(F.when(t == "problem_solved", F.col("problem_id"))).over(BEFORE)
+    solved_so_far = F.collect_set(F.when(t == "problem_solved", F.col("problem_id"))).over(before())
     ahead = Window.partitionBy("trace_id").orderBy("t").rangeBetween(Window.currentRow, 60)
     on_problem = Window.partitionBy("trace_id", "problem_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     marks = rows.withColumns({
-        "last_subtype": F.last("error_subtype", ignorenulls=True).over(BEFORE), "last_error": F.last(F.when(is_error(), time), ignorenulls=True).over(BEFORE),
-        "left": F.lag("problem_id").over(ORDER), "solved": solved_so_far,
+        "last_subtype": F.last("error_subtype", ignorenulls=True).over(before()), "last_error": F.last(F.when(is_error(), time), ignorenulls=True).over(before()),
+        "left": F.lag("problem_id").over(order()), "solved": solved_so_far,
         "close": F.when(is_error(), F.sum(is_error().cast("int")).over(ahead)).otherwise(0), "tries": F.coalesce(F.sum(is_error().cast("int")).over(on_problem), F.lit(0)),
     })
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
