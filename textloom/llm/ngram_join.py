@@ -4,7 +4,9 @@ A document is its set of 5-word shingles (64-bit hashes). All shingles have one
 global order: the `HEAVY` commonest come last, commonest at the very end, all
 others by hash. Two sets of Jaccard similarity t share one of their first
 n - ceil(t n) + 1 shingles, so those prefixes, shuffled by shingle, bring
-candidates together. A candidate pair is counted by vertical partitioning: the
+candidates together. Pairs whose parity bit tables (two bits and more for each
+shingle) differ in more bits than similar sets differ in shingles go. What is left is
+counted by vertical partitioning: the
 order is cut into FRAGMENTS ranges, each document's set into segments, the
 overlap of a pair is counted in each fragment on its own, and partial counts are
 summed per pair.
@@ -91,8 +93,19 @@ def fragment_of(found: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity_bits(found: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of shingles fall on i; 2**k bits, twice the shingles or more, as 64-bit words.
+
+    Two such tables differ in no more bits than their sets differ in shingles. The
+    exclusive or of its halves is a table's half-size form.
+    """
+    k = max(6, int(2 * max(1, len(found)) - 1).bit_length())
+    odd = np.bincount((found & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """id, n, sig of every document, and token, c: shingles that are common in one partition."""
+    """id, n, sig, bits of every document, and token, c: shingles that are common in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -110,23 +123,27 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
 
         for batch in batches:
             for part in vec.slices(batch):
-                n, sig = [], []
+                n, sig, bits = [], [], []
                 for found in shingle_sets(part, words):
                     n.append(len(found))
                     sig.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                    bits.append(parity_bits(found))
                     once.append(found)
                     held += len(found)
                 if held > 2_000_000:
                     merge()
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], ["id", "n", "sig", "token", "c"])
+                ends = np.cumsum([0, *map(len, bits)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(bits)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), lists, pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
         merge()
         keep = counts >= HEAVY_LEAST
         tokens, c = seen[keep].view(np.int64), counts[keep]
         for a in range(0, len(tokens), 50_000):
             t = tokens[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.binary()), pa.array(t), pa.array(c[a : a + 50_000], pa.int64())], ["id", "n", "sig", "token", "c"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.binary()), pa.nulls(len(t), pa.list_(pa.int64())), pa.array(t), pa.array(c[a : a + 50_000], pa.int64())], names)
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, sig binary, token long, c long")
+    names = ["id", "n", "sig", "bits", "token", "c"]
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, sig binary, bits array<long>, token long, c long")
 
 
 def _prefixes(docs: DataFrame, heavy, words: int, top: int, bottom: int) -> DataFrame:
@@ -226,6 +243,16 @@ def _segments(docs: DataFrame, bits, heavy, words: int, size: int) -> DataFrame:
     return docs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(size)).alias("h")).mapInArrow(run, "node long, fragment int, tokens array<long>")
 
 
+def _alike(pairs: DataFrame, bits: DataFrame, top: int, bottom: int) -> DataFrame:
+    """The pairs (a, b, an, bn) whose parity tables do not rule them out. bits: node, bits."""
+    half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int")), lambda p, q: p.bitwiseXOR(q))
+    rows = pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
+    # similar sets' tables are of one size, or one of twice the other's
+    rows = rows.withColumns({"x": F.when(F.size("x") > F.size("y"), half(F.col("x"))).otherwise(F.col("x")), "y": F.when(F.size("y") > F.size("x"), half(F.col("y"))).otherwise(F.col("y"))})
+    differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("long")), F.lit(0).cast("long"), lambda s, d: s + d)
+    return rows.filter(differ * (bottom + top) <= (F.col("an") + F.col("bn")) * (bottom - top)).select("a", "b", "an", "bn")
+
+
 def _links(pairs: DataFrame, segments: DataFrame, top: int, bottom: int) -> DataFrame:
     """u, v of the pairs (a, b, an, bn) that are similar: overlaps by fragment, summed per pair."""
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("x"))
@@ -254,7 +281,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
     order = np.argsort(tokens)
     # rank: the commonest is last
     heavy = spark.sparkContext.broadcast((tokens[order], (len(tokens) - order).astype(np.int64)))
-    base = stats.filter("token is null").select("id", "n", "sig")
+    base = stats.filter("token is null").select("id", "n", "sig", "bits")
     classes = cut(base.groupBy("sig", "n").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "classes")
     firsts = classes.filter("n > 0").select(F.col("node").alias("id"))
     prefixes = _prefixes(docs, heavy, words, top, bottom).join(firsts, "id", "left_semi")
@@ -267,7 +294,10 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
 
     stars = cut(groups.filter("node <> centre").filter(reach("n", "place", "cn", "cplace")).select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("cn").alias("an"), F.col("n").alias("bn")).distinct(), "stars")
 
+    bits_of = base.join(firsts, "id", "left_semi").select(F.col("id").alias("node"), "bits")
+
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(_alike(pairs, bits_of, top, bottom), "pairs")
         ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
         bits = spark.sparkContext.broadcast(_bits(ids, FILTER_BITS))
         return _links(pairs, _segments(docs, bits, heavy, words, FILTER_BITS), top, bottom)
@@ -289,7 +319,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         more = cut(verified(rest), "links")
         if not more.isEmpty():
             first = cut(components(more.union(first.select("node", "component"))), "components")
-    members = base.join(classes.select("sig", "node", "copies", F.col("n").alias("cn")), "sig").join(first, "node", "left").select("id", "n", "copies", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component"))
+    members = base.drop("bits").join(classes.select("sig", "node", "copies", F.col("n").alias("cn")), "sig").join(first, "node", "left").select("id", "n", "copies", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component"))
     if unique:
         return members.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "copies")
     named = members.join(docs.select("id", "doc_id"), "id")
