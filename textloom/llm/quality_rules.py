@@ -158,7 +158,7 @@ def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, nearest).otherwise(1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     far = ((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & (F.col("words_distance") > MAX_WORDS_DISTANCE))
-    return rows.select(*(["id", "tie"] if keys else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "chars_distance", "words_distance")
+    return rows.select(*(["id", "tie"] if keys else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), F.round("chars_distance", 6).alias("chars_distance"), F.round("words_distance", 6).alias("words_distance"))
 
 
 def kept(docs: DataFrame) -> DataFrame:
@@ -170,3 +170,44 @@ def kept(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    """The same in DuckDB's SQL."""
+    seps = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    known = {"upper": lower.upper(), "digit": "0123456789", "space": SEPARATORS, "punct": PUNCTUATION, "symbol": SYMBOLS}
+    rest = "".join(c for c in map(chr, range(128)) if c not in lower + "".join(known.values()))
+    pattern = lambda chars: "[" + "".join(f"\\x{ord(c):02x}" for c in chars) + "]+"
+    classes = {"lower": pattern(lower), **{k: pattern(v) for k, v in known.items()}, "ascii_other": pattern(rest), "wide": "[^\\x00-\\x7f]+"}
+    counts = ", ".join(f"length(text) - length(regexp_replace(text, '{p}', '', 'g')) AS c_{k}" for k, p in classes.items())
+    term = lambda p, q: f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END - {q} ELSE 0 END"
+    distance = lambda t: f"sqrt(greatest(0.0::DOUBLE, ({t} + 1.0) / 2))"
+    chars = " + ".join(term(f"(r.c_{k} / greatest(points, 1)::DOUBLE)", f"(s.c_{k} / s.points_all::DOUBLE)") for k in CLASSES)
+    k = REPEAT_WINDOW
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0d]+'), lambda x: x <> '') AS words, list_filter(string_split(text, chr(10)), lambda x: trim(x, {seps}) <> '') AS lines FROM d),
+r0 AS (SELECT uid, doc_id, lang, words, len(words) AS n_words, length(text) AS points, length(text) - length(regexp_replace(text, '[\\x20\\x09-\\x0d]+', '', 'g')) AS n_sep, len(lines) - len(list_distinct(lines)) AS n_dup_lines, {counts} FROM w),
+g AS (SELECT uid, unnest(range(1, n_words - {k - 2})) AS i, unnest([array_to_string(words[j : j + {k - 1}], ' ') FOR j IN range(1, n_words - {k - 2})]) AS win FROM r0 WHERE n_words > {k}),
+h AS (SELECT uid, i FROM (SELECT *, count(*) OVER (PARTITION BY uid, win) AS c FROM g) WHERE c > 1),
+v AS (SELECT uid, sum(least({k}, coalesce(nxt - i, {k})))::BIGINT AS n_repeat_words FROM (SELECT uid, i, lead(i) OVER (PARTITION BY uid ORDER BY i) AS nxt FROM h) GROUP BY uid),
+r AS (SELECT r0.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM r0 LEFT JOIN v USING (uid)),
+s AS (SELECT lang, count(*) AS docs, sum(n_words) AS n, {', '.join(f'sum(c_{c}) AS c_{c}' for c in CLASSES)}, sum(points) AS points_all FROM r GROUP BY lang),
+t AS (SELECT uid, lang, lower(unnest(words)) AS w FROM r),
+tc AS (SELECT lang, w, count(*) AS c FROM t GROUP BY lang, w),
+tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY c DESC, w) AS k FROM tc) WHERE k <= {COMMON_WORDS}),
+refs AS (SELECT s.*, (s.n - x.c_all) / s.n::DOUBLE AS other FROM s JOIN (SELECT lang, sum(c) AS c_all FROM tops GROUP BY lang) x ON s.lang IS NOT DISTINCT FROM x.lang WHERE points_all > 0 ORDER BY docs DESC, s.lang NULLS FIRST LIMIT {MAX_LANGUAGES}),
+cd AS (SELECT r.uid, CASE WHEN any_value(r.points) > 0 THEN least(min({distance(chars)}), 1.0) ELSE 1.0 END AS chars_distance FROM r LEFT JOIN refs s ON true GROUP BY r.uid),
+wc AS (SELECT uid, w, count(*) AS c FROM t GROUP BY uid, w),
+wt AS (SELECT wc.uid, tops.lang AS ref, sum({term('(wc.c / r.n_words::DOUBLE)', '(tops.c / refs.n::DOUBLE)')}) AS terms, sum(wc.c) AS common
+ FROM wc JOIN r USING (uid) JOIN tops USING (w) JOIN refs ON refs.lang IS NOT DISTINCT FROM tops.lang GROUP BY wc.uid, tops.lang),
+wd AS (SELECT r.uid, CASE WHEN any_value(r.n_words) > 0 THEN least(min({distance('(coalesce(terms, 0) + ' + term('((r.n_words - coalesce(common, 0)) / greatest(r.n_words, 1)::DOUBLE)', 'refs.other') + ')')}), 1.0) ELSE 1.0 END AS words_distance
+ FROM r LEFT JOIN refs ON true LEFT JOIN wt ON wt.uid = r.uid AND wt.ref IS NOT DISTINCT FROM refs.lang GROUP BY r.uid),
+b AS (SELECT r.*, chars_distance, words_distance, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM r JOIN cd USING (uid) JOIN wd USING (uid))
+SELECT doc_id, n_words, points - n_sep AS word_chars, c_symbol AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND NOT (points >= {GUARD_CHARS} AND chars_distance > {MAX_CHARS_DISTANCE}) AND NOT (n_words >= {GUARD_WORDS} AND words_distance > {MAX_WORDS_DISTANCE}) AS kept, round(chars_distance, 6) AS chars_distance, round(words_distance, 6) AS words_distance FROM b
+"""
+
+
+ORACLE_SQL = _oracle()
