@@ -348,12 +348,12 @@ class Model:
     def __init__(self, terms: list[tuple[str, bool, bool]], weights: np.ndarray):
         self.terms, self.weights = terms, weights
 
-    def score(self, docs: DataFrame, keep: list[str]) -> DataFrame:
-        """The columns `keep` (not text twice) and score of every row."""
+    def score(self, docs: DataFrame, keep: list[str], name: str = "score") -> DataFrame:
+        """The columns `keep` and, as `name`, the score of every row."""
         weights = self.weights
         types = {f.name: f.dataType.simpleString() for f in docs.schema}
-        run = _feature_rows(self.terms, keep, [("score", pa.float64())], lambda x: [1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))])
-        return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), "score double"]))
+        run = _feature_rows(self.terms, keep, [(name, pa.float64())], lambda x: [1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))])
+        return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{name}` double"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
