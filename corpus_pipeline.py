@@ -18,7 +18,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score rejects go."""
     small_batches(spark)
     model = toxic.fit(docs, table(spark, sf_dir, "labels"))
-    return model.score(docs, docs.columns).filter(F.col("score") < toxic.THRESHOLD).select(*docs.columns)
+    return model.score(docs, docs.columns, "toxicity of the row").filter(F.col("toxicity of the row") < toxic.THRESHOLD).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
