@@ -163,3 +163,41 @@ def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two texts as sets of lower-case words; 0 if either has none."""
     x, y = F.array_distinct(words(F.lower(a))), F.array_distinct(words(F.lower(b)))
     return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+
+
+# Wrong readings found in scanned textbooks and the words they stand for.
+SCAN_WORDS = [
+    (r"\bArz\b", "An"), (r"\bstatc\b", "state"), (r"\binforination\b", "information"), (r"\bCalcuIu,s\b", "Calculus"), (r"\bCalcuIus\b", "Calculus"), (r"\bstaternent\b", "statement"), (r"\brne\b", "me"), (r"\bquesry\b", "query"),
+    (r"\bproblern\b", "problem"), (r"\bdetcrminc\b", "determine"), (r"\bopcrator\b", "operator"), (r"\bfonns\b", "forms"), (r"\bdepart~ent\b", "department"), (r"\bempl~yee\b", "employee"), (r"\bSCALI'-I\]P", "SCALABILITY"), (r"\bKACTSiSEC\b", "FACTS/SEC"),
+]
+
+
+def mend_scanned_words(c: Column) -> Column:
+    for pattern, to in SCAN_WORDS:
+        c = F.regexp_replace(c, f"(?i){pattern}", to)
+    return c
+
+
+def drop_column_repeats(c: Column) -> Column:
+    """Lines of which the first 50, 40 or 30 characters (as many as it has) open a kept line go; lines of more than 30 are remembered by 50.
+
+    A fold over the lines of one text: what is kept depends on what was kept before.
+    """
+    lines = F.split(c, "\n", -1)
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.array().cast("array<string>").alias("seen"))
+
+    def step(acc: Column, line: Column) -> Column:
+        s = strip(line)
+        n = F.least(F.lit(50), F.length(s))
+        again = F.exists(F.array(n, n - 10, n - 20), lambda k: (k > 20) & F.array_contains(acc["seen"], F.substr(s, F.lit(1), k)))
+        kept = F.when(again, acc["kept"]).otherwise(F.array_append(acc["kept"], line))
+        seen = F.when(again | (F.length(s) <= 30), acc["seen"]).otherwise(F.array_append(acc["seen"], F.substr(s, F.lit(1), F.lit(50))))
+        return F.struct(kept.alias("kept"), seen.alias("seen"))
+
+    return F.aggregate(lines, start, step, lambda acc: F.array_join(acc["kept"], "\n"))
+
+
+def tidy_format(c: Column) -> Column:
+    """At most one blank line, no runs of blanks, no lines of a dash alone."""
+    c = F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"[ \t]{2,}", " ")
+    return F.regexp_replace(c, r"\n\s*[-—]\s*\n", "\n")

@@ -39,7 +39,7 @@ spark_query("sql8_rewrite", f"WITH {V}, r AS (SELECT id, trim(regexp_replace({_r
 # RE2's word border knows ASCII only, so the oracle takes whole words
 _function_words = ", ".join(sql_text(w) for w in S.FUNCTION_WORDS.split("(?:")[1].split(")")[0].split("|"))
 query("aud10_prose_share", f"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, {NL}), lambda x: trim(x, {W})), lambda x: x <> '') AS l FROM documents)
-SELECT doc_id, CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda x: len(list_filter(regexp_extract_all(lower(x), '[\p{{L}}\p{{N}}_]+'), lambda y: y IN ({_function_words}))) >= 3))::DOUBLE / len(l) ELSE 0.0::DOUBLE END AS share FROM l""")(lambda t: t("documents").select("doc_id", S.prose_share(F.col("text")).alias("share")))
+SELECT doc_id, CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda x: len(list_filter(regexp_extract_all(lower(x), '[\\p{{L}}\\p{{N}}_]+'), lambda y: y IN ({_function_words}))) >= 3))::DOUBLE / len(l) ELSE 0.0::DOUBLE END AS share FROM l""")(lambda t: t("documents").select("doc_id", S.prose_share(F.col("text")).alias("share")))
 
 # --- concepts ---------------------------------------------------------------------
 _kw = ["license", "version", "token", "reserved"]
