@@ -1,13 +1,51 @@
-"""Connected components of a table of links, by alternating large and small stars."""
+"""Connected components of a table of links.
+
+Up to LOCAL_LINKS links, a number that is checked, are one task's work; more are
+settled by alternating large and small stars, round by round. Both give the same.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 MAX_ROUNDS = 60
+#: Links that one task may hold: two longs each, and as much again for their labels.
+LOCAL_LINKS = 2_000_000
+
+
+def labels(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node that each is linked with: least labels along links, then along labels, until nothing changes."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
+
+def _in_one_task(links: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+        if parts:
+            nodes, component = labels(*(np.concatenate(x) for x in zip(*parts)))
+            for k in range(0, len(nodes), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 50_000]), pa.array(component[k : k + 50_000])], ["node", "component"])
+
+    return links.select("u", "v").coalesce(1).mapInArrow(run, "node long, component long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,8 +53,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs neighbours below the smallest of them; it ends when every
     tree is a star. Minima are partial aggregates, so a node with many links
-    costs its links, not their square. Nothing is collected.
+    costs its links, not their square. Nothing is collected. links is read twice.
     """
+    if links.count() <= LOCAL_LINKS:
+        return _in_one_task(links)
     edges = cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
     for _ in range(MAX_ROUNDS):
         # done: each node has one parent, and no parent has one itself

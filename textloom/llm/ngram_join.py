@@ -13,11 +13,13 @@ summed per pair.
 
 Copies and hot groups: equal sets are one node, kept by its smallest doc_id.
 Within a shingle's rows (by set size) each node is paired with a centre, the
-smallest set whose size still allows the similarity, which is linear in the rows;
-verified pairs give components. A second round pairs only nodes of one shingle
-that lie in different components and that size and position filters allow. Links
+smallest set whose size still allows the similarity, and with the node before it,
+which is linear in the rows; verified pairs give components. While a shingle's
+components still make many pairs, each node meets a few neighbours of another
+component in further orders. The last round pairs all nodes of one shingle that lie
+in different components and that size, position and parity filters allow. Links
 inside a component cannot change it, so no link between different texts is lost
-for the components, and no group is expanded into its pairs.
+for the components, and a group of near copies is not expanded into its pairs.
 
 Defined results: null and empty texts and texts without a word have no shingles
 and are their own component; texts of fewer than five words are one shingle of
@@ -37,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import vec
 from .common import cut, table
@@ -50,6 +53,9 @@ HEAVY = 1 << 16
 #: A shingle that no partition has so often cannot be heavy; this only orders shingles, it drops none.
 HEAVY_LEAST = 8
 FILTER_BITS = 1 << 23
+#: Rounds of neighbours before all pairs across components are looked at, while those are more than so many a row and
+#: the round before found links in this share of its pairs.
+ROUNDS, PAIRS_PER_ROW, NEIGHBOURS, WORTH = 4, 8, 3, 0.02
 
 
 def shingle_sets(part: pa.RecordBatch, words: int = WORDS, column: str = "text") -> Iterator[np.ndarray]:
@@ -162,16 +168,11 @@ def _prefixes(docs: DataFrame, heavy, words: int, top: int, bottom: int) -> Data
     return docs.select("id", "text").mapInArrow(run, "id long, n long, prefix array<long>")
 
 
-def _may_reach(n: int, i: int, m: int, j: int, top: int, bottom: int) -> bool:
-    """Whether sets of n and m whose first common shingle has places i and j can be similar."""
-    return (1 + min(n - i, m - j) - 1) * (bottom + top) >= top * (n + m)
-
-
 def _groups(rows: DataFrame, top: int, bottom: int) -> DataFrame:
-    """Of (token, node, n, place), those whose token another node has, with a centre of their size (centre, cn, cplace)."""
+    """Of (token, node, n, place), those whose token another node has, with a centre of their size (centre, cn) and the node before (prev, pn)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_token, first, shared, centre = None, None, False, None  # of the run that goes on
+        last_token, first, shared, centre, before = None, None, False, None, None  # of the run that goes on
 
         for batch in batches:
             token = batch.column("token").to_numpy()
@@ -189,25 +190,27 @@ def _groups(rows: DataFrame, top: int, bottom: int) -> DataFrame:
             for k in np.flatnonzero(wanted).tolist():
                 row = (int(token[k]), int(node[k]), int(n[k]), int(place[k]))
                 if new[k]:
-                    first, shared, centre = row, False, row
+                    first, shared, centre, before = row, False, row, row
                     continue
                 if not shared:
                     if first is None or first[0] != row[0]:
                         raise AssertionError("a run lost its first row")
-                    out.append((*first, *first[1:]))
+                    out.append((*first, *first[1:3], *first[1:3]))
                     shared = True
                 if centre[2] * bottom < row[2] * top:
                     centre = row
-                out.append((*row, *centre[1:]))
+                out.append((*row, *centre[1:3], *before[1:3]))
+                before = row
             k = size - 1
             last_token = int(token[k])
             if new[k]:
                 first = (int(token[k]), int(node[k]), int(n[k]), int(place[k]))
-                shared, centre = False, first
-            columns = list(zip(*out)) if out else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "node", "n", "place", "centre", "cn", "cplace"])
+                shared, centre, before = False, first, first
+            columns = list(zip(*out)) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    return rows.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(run, "token long, node long, n long, place long, centre long, cn long, cplace long")
+    names = ["token", "node", "n", "place", "centre", "cn", "prev", "pn"]
+    return rows.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _bits(ids: DataFrame, size: int):
@@ -292,7 +295,13 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         small_enough = (F.col(n) * bottom >= F.col(m) * top) & (F.col(m) * bottom >= F.col(n) * top)
         return small_enough & (F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) * (bottom + top) >= top * (F.col(n) + F.col(m)))
 
-    stars = cut(groups.filter("node <> centre").filter(reach("n", "place", "cn", "cplace")).select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("cn").alias("an"), F.col("n").alias("bn")).distinct(), "stars")
+    def couples(rows: DataFrame, a: str, an: str) -> DataFrame:
+        """Pairs of (node, n) and another whose sizes allow it; place says nothing here, as a pair need not meet at its first common shingle."""
+        near = rows.filter(F.col(a) != F.col("node")).filter((F.col(an) * bottom >= F.col("n") * top) & (F.col("n") * bottom >= F.col(an) * top))
+        one = F.col(a) < F.col("node")
+        return near.select(F.least(a, "node").alias("a"), F.greatest(a, "node").alias("b"), F.when(one, F.col(an)).otherwise(F.col("n")).alias("an"), F.when(one, F.col("n")).otherwise(F.col(an)).alias("bn"))
+
+    tested = cut(couples(groups, "centre", "cn").union(couples(groups, "prev", "pn")).distinct(), "stars")
 
     bits_of = base.join(firsts, "id", "left_semi").select(F.col("id").alias("node"), "bits")
 
@@ -302,23 +311,37 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         bits = spark.sparkContext.broadcast(_bits(ids, FILTER_BITS))
         return _links(pairs, _segments(docs, bits, heavy, words, FILTER_BITS), top, bottom)
 
-    links = cut(verified(stars), "links")
+    links = cut(verified(tested), "links")
     first = cut(components(links), "components")
-    # shingles whose nodes lie in more than one component
-    placed = groups.select("token", "node", "n", "place").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut(placed, "placed")
-    open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
-    placed = placed.join(open_, "token", "left_semi")
-    x = placed.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "component")))
-    y = placed.select("token", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "place", "component")))
-    rest = x.join(y, "token").filter("x_component <> y_component and x_node < y_node").filter(reach("x_n", "x_place", "y_n", "y_place"))
-    rest = rest.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.col("x_n").alias("an"), F.col("y_n").alias("bn")).distinct()
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(rest.join(tested, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
+    worth = links.count() >= WORTH * tested.count()
+    for number in range(ROUNDS + 1):
+        # shingles whose nodes lie in more than one component, and the pairs across that they have
+        placed = cut(groups.select("token", "node", "n", "place").join(first, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("k")).filter("k > 1")
+        load = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("q")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
+        if not load["rows"]:
+            break
+        placed = placed.join(sizes.select("token"), "token", "left_semi")
+        last = number == ROUNDS or not worth or load["pairs"] <= PAIRS_PER_ROW * load["rows"]
+        if last:
+            x = placed.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "component")))
+            y = placed.select("token", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "place", "component")))
+            rest = x.join(y, "token").filter("x_component <> y_component and x_node < y_node").filter(reach("x_n", "x_place", "y_n", "y_place"))
+            rest = rest.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.col("x_n").alias("an"), F.col("y_n").alias("bn"))
+        else:
+            # a few neighbours of each node in an order of this round's own
+            w = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(number)), "node")
+            others = {f"o{k}": F.lag(F.struct(F.col("node").alias("other"), F.col("n").alias("on"), F.col("component").alias("oc")), k).over(w) for k in range(1, NEIGHBOURS + 1)}
+            near = placed.withColumns(others).select("node", "n", "component", F.explode(F.array_compact(F.array(*others))).alias("o"))
+            rest = couples(near.select("node", "n", "component", "o.*").filter("oc <> component"), "other", "on")
+        rest = cut(rest.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
         more = cut(verified(rest), "links")
+        worth = more.count() >= WORTH * rest.count()
+        tested = tested.union(rest.select(*tested.columns))
         if not more.isEmpty():
-            first = cut(components(more.union(first.select("node", "component"))), "components")
+            first = cut(components(cut(more.union(first.select("node", "component")), "links")), "components")
+        if last:
+            break
     members = base.drop("bits").join(classes.select("sig", "node", "copies", F.col("n").alias("cn")), "sig").join(first, "node", "left").select("id", "n", "copies", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component"))
     if unique:
         return members.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "copies")
