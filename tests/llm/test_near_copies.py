@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from textloom.llm import ngram_join, suffix_dedup
+from textloom.llm import components, ngram_join, suffix_dedup
 
 
 def shingles(text):
@@ -76,6 +76,28 @@ def test_rounds_of_neighbours_change_nothing(spark, monkeypatch):
         assert sorted(map(tuple, got), key=str) == by_brute_force(rows)
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_components_of_paths_stars_and_cycles(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "LOCAL_LINKS", most)
+    rng = random.Random(7)
+    links = [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 230)] + [(300, 301), (301, 302), (302, 300)] + [(5, 400)]
+    links += [(rng.randrange(500, 560), rng.randrange(500, 560)) for _ in range(30)]
+    parent = {x: x for e in links for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    rng.shuffle(links)
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert {x: c for x, c in got.items() if x in linked} == {x: root(x) for x in linked}
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "x y z"), (None, None), (7, "x y z")]
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, token string")
