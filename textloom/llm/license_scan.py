@@ -4,7 +4,9 @@ A text is lower-cased and cut into sentences (at line breaks and after . ! ?
 before white space); a sentence's words are its runs of letters, digits and
 inner dots or plus signs. Sentence and template meet as sets of word bigrams (a
 single word counts as a bigram with nothing). Only templates whose size allows
-the wanted coefficient are counted: min/max >= t / (2 - t). Bigrams find their
+the wanted coefficient are counted: min/max >= t / (2 - t). Texts and sentences without any of
+a few words, one of which every near sentence must hold (`anchors`), are passed over
+before they are cut into words. Bigrams find their
 templates by an equality join with the small template table, broadcast (its size
 is fixed by TEMPLATES); overlaps are summed per sentence, row and template.
 
@@ -47,6 +49,28 @@ def bigrams_of(sentence: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])} or {f"{words[0]} "})
 
 
+def anchors(templates: dict[str, list[str]], least: float) -> list[str]:
+    """Words one of which any sentence near enough to a template holds.
+
+    A sentence that reaches `least` shares at least least / (2 - least) of the
+    template's bigrams, so if all other bigrams but that share have an anchor in
+    them, it holds one. Long words and numbers are taken first.
+    """
+    chosen: list[str] = []
+    for sentence in (s for ss in templates.values() for s in ss):
+        found = bigrams_of(sentence)
+        need = int(len(found) * (1 - least / (2 - least)) + 1e-9) + 1
+        words = sorted({w for b in found for w in b.split(" ") if w}, key=lambda w: (any(c.isdigit() for c in w), len(w), w), reverse=True)
+        covered = lambda ws: sum(any(w in b.split(" ") for w in ws) for b in found)  # noqa: E731,B023
+        mine = [w for w in chosen if w in words]
+        for w in words:
+            if covered(mine) >= need:
+                break
+            mine.append(w)
+        chosen += [w for w in mine if w not in chosen]
+    return [w for w in chosen if not any(o != w and o in w for o in chosen)]
+
+
 def _template_rows(templates: dict[str, list[str]], least: float) -> tuple[list[tuple[int, str, str, int]], int, int]:
     rows, sizes = [], []
     for k, (name, sentence) in enumerate((n, s) for n, ss in templates.items() for s in ss):
@@ -63,7 +87,15 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
     known = docs.sparkSession.createDataFrame(rows, "t int, license string, bigram string, t_size int")
     # a row is known by doc_id and a hash of its text: scans need not agree on an order
     base = docs.select(F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")).alias("uid"), "doc_id", "text")
-    sentences = base.select("uid", F.posexplode(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SENTENCE)).alias("place", "s"))
+    holds = F.lit(False)
+    for word in anchors(templates or TEMPLATES, least):
+        holds = holds | F.contains("low", F.lit(word))
+    near = base.select("uid", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("low")).filter(holds)
+    sentences = near.select("uid", F.posexplode(F.split("low", _SENTENCE)).alias("place", "s"))
+    again = F.lit(False)
+    for word in anchors(templates or TEMPLATES, least):
+        again = again | F.contains("s", F.lit(word))
+    sentences = sentences.filter(again)
     words = sentences.select("uid", "place", F.split(F.trim(F.regexp_replace("s", _DROP, " ")), " +").alias("w"))
     words = words.withColumn("w", F.expr("filter(transform(w, x -> trim(BOTH '.+' FROM x)), x -> x <> '')")).filter(F.size("w") > 0)
     # a sentence has at most words - 1 bigrams, and few repeat in a notice
