@@ -1,15 +1,19 @@
 """Compares a query's rows with its SQL in DuckDB, whatever their order."""
 
+import numbers
+
 import duckdb
+import numpy as np
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _cell(v):
-    if v is None or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
         return None
-    if isinstance(v, float):
-        return round(v, 6)
+    if isinstance(v, numbers.Number) and not isinstance(v, (bool, np.bool_)):
+        return round(float(v), 6)
     return str(v)
 
 
