@@ -329,6 +329,14 @@ class Vocabulary:
         return out, at
 
 
+@functools.cache
+def id_bound(path: str) -> int:
+    """One more than the largest id of a vocabulary file; for the driver, which needs no automaton."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)

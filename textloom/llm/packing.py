@@ -39,7 +39,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def tokenise(docs: DataFrame, path: str, by: str = "source") -> DataFrame:
     """uid, doc_id, queue, n, ids: little-endian ids of each document with the closing 0, two bytes each where they fit."""
-    width = "<u2" if bpe.vocabulary(path).size <= 1 << 16 else "<u4"
+    width = "<u2" if bpe.id_bound(path) <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
