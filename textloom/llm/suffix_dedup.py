@@ -49,6 +49,8 @@ COMMON_BITS = 20
 BLOCK_BYTES = 1 << 17
 #: A place in a block, in the lowest bits of what is compared.
 PLACE_BITS = 20
+#: Runs among which a task looks for equal texts before it ships them.
+CHUNK_ROWS = 300_000
 #: Bytes of run texts that one suffix array is built of, if no single anchor has more.
 ARRAY_BYTES = 1 << 18
 #: Bits of the table of runs whose texts are needed: at least (as a power of two), for each run, at most (as a power of two).
@@ -274,16 +276,37 @@ def _run_hashes(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def _run_rows(docs: DataFrame, common, length: int, gram: int) -> DataFrame:
-    """key, text_hash, id, start, count of every run."""
+    """key, text_hash, id, start, count, again of every run.
+
+    Of runs of one text that a task meets within CHUNK_ROWS runs only the first
+    stays with its key; the others are again, whatever comes elsewhere, and get
+    keys of their own, so that copies do not gather in one task later.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def flush() -> pa.RecordBatch:
+            key, text, ids, start, count = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.lexsort((start, ids))
+            _, first = np.unique((key ^ vec.mix(text))[order], return_index=True)
+            again = np.ones(len(key), dtype=bool)
+            again[order[first]] = False
+            place = _run_hashes(ids, start)
+            key, text = np.where(again, place, key), np.where(again, place, text)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), text.view(np.int64), ids, start, count, again)], ["key", "text_hash", "id", "start", "count", "again"])
+
         for batch in batches:
             for data, offsets, ids, base in block_slices(batch, length):
                 doc, start, count, key, sums = runs(data, offsets, common.value, length, gram)
-                text = sums.spans(start, count + (length - 1))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), text.view(np.int64), ids[doc], start - offsets[doc] + base[doc], count)], ["key", "text_hash", "id", "start", "count"])
+                held.append((key, sums.spans(start, count + (length - 1)), ids[doc], start - offsets[doc] + base[doc], count))
+                if sum(len(h[0]) for h in held) >= CHUNK_ROWS:
+                    yield flush()
+        if held:
+            yield flush()
 
-    return docs.select("id", "text").mapInArrow(run, "key long, text_hash long, id long, start long, count long")
+    return docs.select("id", "text").mapInArrow(run, "key long, text_hash long, id long, start long, count long, again boolean")
 
 
 def _sorted_runs(rows: DataFrame) -> DataFrame:
@@ -294,6 +317,12 @@ def _sorted_runs(rows: DataFrame) -> DataFrame:
         last: tuple | None = None  # key, text_hash of the row before
         waiting: list | None = None  # the only text of the last key so far
         for batch in batches:
+            known = batch.column("again").to_numpy(zero_copy_only=False)
+            if known.any():
+                out = batch.filter(pa.array(known))
+                place = _run_hashes(out.column("id").to_numpy(), out.column("start").to_numpy()).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("id", "start", "count", "again")), pa.array(place)], ["id", "start", "count", "again", "place"])
+                batch = batch.filter(pa.array(~known))
             key, text, ids, start, count = (batch.column(c).to_numpy() for c in names)
             n = len(key)
             if not n:
