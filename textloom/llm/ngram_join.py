@@ -4,7 +4,7 @@ A document is its set of 5-word shingles (64-bit hashes). All shingles have one
 global order: the `HEAVY` commonest come last, commonest at the very end, all
 others by hash. Two sets of Jaccard similarity t share one of their first
 n - ceil(t n) + 1 shingles, so those prefixes, shuffled by shingle, bring
-candidates together. Pairs whose parity bit tables (two bits and more for each
+candidates together. Pairs whose parity bit tables (a bit or two for each
 shingle) differ in more bits than similar sets differ in shingles go. What is left is
 counted by vertical partitioning: the
 order is cut into FRAGMENTS ranges, each document's set into segments, the
@@ -13,8 +13,8 @@ summed per pair.
 
 Copies and hot groups: equal sets are one node, kept by its smallest doc_id.
 Within a shingle's rows (by set size) each node is paired with a centre, the
-smallest set whose size still allows the similarity, and with the node before it,
-which is linear in the rows; verified pairs give components. While a shingle's
+smallest set whose size still allows the similarity, and (for a quarter of the
+shingles) with the node before it, which is linear in the rows; verified pairs give components. While a shingle's
 components still make many pairs, each node meets a few neighbours of another
 component in further orders. The last round pairs all nodes of one shingle that lie
 in different components and that size, position and parity filters allow. Links
@@ -49,13 +49,13 @@ WORDS = 5
 #: Similarity as a fraction: TOP / BOTTOM.
 TOP, BOTTOM = 75, 100
 FRAGMENTS = 8
-HEAVY = 1 << 16
+HEAVY = 1 << 18
 #: A shingle that no partition has so often cannot be heavy; this only orders shingles, it drops none.
-HEAVY_LEAST = 8
+HEAVY_LEAST = 3
 FILTER_BITS = 1 << 23
 #: Rounds of neighbours before all pairs across components are looked at, while those are more than so many a row and
 #: the round before found links in this share of its pairs.
-ROUNDS, PAIRS_PER_ROW, NEIGHBOURS, WORTH = 4, 8, 3, 0.02
+ROUNDS, PAIRS_PER_ROW, NEIGHBOURS, WORTH = 4, 8, 2, 0.02
 
 
 def shingle_sets(part: pa.RecordBatch, words: int = WORDS, column: str = "text") -> Iterator[np.ndarray]:
@@ -100,12 +100,12 @@ def fragment_of(found: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 
 def parity_bits(found: np.ndarray) -> np.ndarray:
-    """Bit i tells whether an odd number of shingles fall on i; 2**k bits, twice the shingles or more, as 64-bit words.
+    """Bit i tells whether an odd number of shingles fall on i; 2**k bits, as many as shingles or more, as 64-bit words.
 
     Two such tables differ in no more bits than their sets differ in shingles. The
     exclusive or of its halves is a table's half-size form.
     """
-    k = max(6, int(2 * max(1, len(found)) - 1).bit_length())
+    k = max(6, int(max(1, len(found)) - 1).bit_length())
     odd = np.bincount((found & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -216,10 +216,9 @@ def _groups(rows: DataFrame, top: int, bottom: int) -> DataFrame:
 def _bits(ids: DataFrame, size: int):
     """A bit table of fixed size over hashes of the ids, for leaving out documents that no pair asks for."""
     h = F.pmod(F.xxhash64("node"), F.lit(size))
-    rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("b")).collect()
+    rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("b")).toPandas()
     out = np.zeros(size >> 6, dtype=np.int64)
-    for r in rows:
-        out[r["w"]] = r["b"]
+    out[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
     return out
 
 
@@ -258,9 +257,11 @@ def _alike(pairs: DataFrame, bits: DataFrame, top: int, bottom: int) -> DataFram
 
 def _links(pairs: DataFrame, segments: DataFrame, top: int, bottom: int) -> DataFrame:
     """u, v of the pairs (a, b, an, bn) that are similar: overlaps by fragment, summed per pair."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("x"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("tokens").alias("y"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "an", "bn", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
+    # both sides of a pair meet the segments by (node, fragment), so these are dealt out once
+    each = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS))).alias("f"))
+    left = each.join(segments.alias("l"), (F.col("a") == F.col("l.node")) & (F.col("f") == F.col("l.fragment"))).select("a", "b", "an", "bn", "f", F.col("l.tokens").alias("x"))
+    both = left.join(segments.alias("r"), (F.col("b") == F.col("r.node")) & (F.col("f") == F.col("r.fragment")))
+    partial = both.select("a", "b", "an", "bn", F.size(F.array_intersect("x", F.col("r.tokens"))).cast("long").alias("common"))
     total = partial.groupBy("a", "b", "an", "bn").agg(F.sum("common").alias("common"))
     return total.filter(bottom * F.col("common") >= top * (F.col("an") + F.col("bn") - F.col("common"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -279,8 +280,8 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
     spark = docs.sparkSession
     docs, unique = _numbered(docs)
     stats = cut(_signatures(docs, words), "signatures")
-    common = stats.filter("token is not null").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(heavy_size).collect()
-    tokens = np.array([r["token"] for r in common], dtype=np.int64).view(np.uint64)
+    common = stats.filter("token is not null").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(heavy_size).select("token").toPandas()
+    tokens = common["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(tokens)
     # rank: the commonest is last
     heavy = spark.sparkContext.broadcast((tokens[order], (len(tokens) - order).astype(np.int64)))
@@ -301,7 +302,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         one = F.col(a) < F.col("node")
         return near.select(F.least(a, "node").alias("a"), F.greatest(a, "node").alias("b"), F.when(one, F.col(an)).otherwise(F.col("n")).alias("an"), F.when(one, F.col("n")).otherwise(F.col(an)).alias("bn"))
 
-    tested = cut(couples(groups, "centre", "cn").union(couples(groups, "prev", "pn")).distinct(), "stars")
+    tested = cut(couples(groups, "centre", "cn").union(couples(groups.filter("token % 4 = 0"), "prev", "pn")).distinct(), "stars")
 
     bits_of = base.join(firsts, "id", "left_semi").select(F.col("id").alias("node"), "bits")
 
@@ -316,12 +317,14 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
     worth = links.count() >= WORTH * tested.count()
     for number in range(ROUNDS + 1):
         # shingles whose nodes lie in more than one component, and the pairs across that they have
-        placed = cut(groups.select("token", "node", "n", "place").join(first, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("k")).filter("k > 1")
+        in_component = groups.select("token", "node").join(first, "node", "left").select("token", F.coalesce("component", "node").alias("component"))
+        open_ = in_component.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
+        placed = groups.select("token", "node", "n", "place").join(open_, "token", "left_semi").join(first, "node", "left")
+        placed = cut(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("k"))
         load = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("q")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not load["rows"]:
             break
-        placed = placed.join(sizes.select("token"), "token", "left_semi")
         last = number == ROUNDS or not worth or load["pairs"] <= PAIRS_PER_ROW * load["rows"]
         if last:
             x = placed.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "component")))
