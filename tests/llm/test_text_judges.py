@@ -235,6 +235,44 @@ def test_licences_by_hand(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+GPL2_WRAPPED = """/*
+ * foo.c - a thing
+ * Copyright (C) 2001  Some One <some@one.org>
+ *
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+ */
+int main(void) { return 0; }
+"""
+
+
+def test_whole_notices_in_any_layout(spark):
+    mit = " ".join(license_scan.NOTICES["MIT"][1].split())
+    wrapped = lambda text, lead, n=9: "\n".join(lead + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    prose = "A plain sentence about rivers and houses. " * 30
+    rows = [
+        (1, GPL2_WRAPPED, "GPL-2.0", 1), (2, GPL2_WRAPPED.replace("version 2", "version 3"), "GPL-3.0", 1),
+        (3, GPL2_WRAPPED.replace("GNU General", "GNU Affero General").replace("version 2", "version 3"), "AGPL-3.0", 1),
+        (4, license_scan.NOTICES["MIT"][0], "MIT", 1), (5, prose + wrapped(mit, "// ") + "\n" + prose, "MIT", 1),
+        (6, wrapped(license_scan.NOTICES["Apache-2.0"][0], "# "), "Apache-2.0", 1), (7, wrapped(license_scan.NOTICES["ISC"][0], "; ", 4), "ISC", 1),
+        (8, "This work is licensed under the GNU General Public License, version 2.", "GPL-2.0", 1), (9, "This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0", 1),
+        (10, (GPL2_WRAPPED + prose) * 3, "GPL-2.0", 3), (11, prose + "the software is provided without warranty and the license has conditions", None, 0),
+        (12, wrapped(license_scan.NOTICES["BSD-3-Clause"][0], " * "), "BSD-3-Clause", 1), (13, wrapped(license_scan.NOTICES["BSD-2-Clause"][0], " * "), "BSD-2-Clause", 1),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2]], "doc_id long, text string")
+    got = license_scan.scan(docs).collect()
+    assert len(got) == len(rows) + 1
+    found = {r["doc_id"]: (r["license"], r["matches"], r["licenses"]) for r in got}
+    assert found == {i: (name, n, name or "") for i, _, name, n in rows}
+    assert all(r["score"] >= 0.75 for r in got if r["license"])
+
+
 # --- pages -----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body>
