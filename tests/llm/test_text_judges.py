@@ -166,6 +166,19 @@ def test_repeated_rows_are_judged_like_one(spark):
     assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def test_letters_without_a_common_word_are_rejected(spark):
+    rng = random.Random(3)
+    words = ["the", "of", "and", "to", "in"] + ["".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(3000)]
+    clean = [" ".join(rng.choices(words[:5], k=20) + rng.choices(words[5:], k=60)) for _ in range(150)]
+    for i in range(150):
+        clean[i] = " ".join(rng.sample(clean[i].split(), 80))
+    junk = " ".join("q" + "".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(80))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*clean, junk])], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert got[150]["words_distance"] <= quality_rules.MAX_WORDS_DISTANCE and not got[150]["base_failed"]
+    assert not got[150]["kept"] and all(got[i]["kept"] for i in range(150))
+
+
 def test_distance_of_equal_and_disjoint_histograms(spark):
     p, q = spark.range(1).select(F.lit(0.5).alias("p"), F.lit(0.5).alias("q"), F.lit(0.0).alias("z")).first()[:2]
     same = spark.range(1).select(quality_rules._distance(quality_rules._term(F.lit(p), q) + quality_rules._term(F.lit(p), q))).first()[0]

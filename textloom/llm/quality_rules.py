@@ -157,7 +157,9 @@ def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     nearest = F.least(*word_distances, F.lit(1.0)) if word_distances else F.lit(1.0)
     rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, nearest).otherwise(1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    far = ((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & (F.col("words_distance") > MAX_WORDS_DISTANCE))
+    # no common word of any reference: the distance is then no measure, as the other words fill one bin
+    none = F.col("found").isNull() if refs else F.lit(False)
+    far = ((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & ((F.col("words_distance") > MAX_WORDS_DISTANCE) | none))
     return rows.select(*(["id", "tie"] if keys else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), F.round("chars_distance", 6).alias("chars_distance"), F.round("words_distance", 6).alias("words_distance"))
 
 
