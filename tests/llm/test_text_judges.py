@@ -214,6 +214,15 @@ def test_canonical_forms(spark):
     assert got == [True] * len(same) + [False]
 
 
+def test_canonical_text_of_all_code_points(spark):
+    points = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    forms = lambda x: {unicodedata.normalize(k, x) for k in ("NFC", "NFKC", "NFD")} - {x}
+    rows = [(f"a{x}b", f"a{y}b") for x in points for y in forms(x)] + [("각가", unicodedata.normalize("NFD", "각가")), ("가각", unicodedata.normalize("NFD", "가각"))]
+    docs = spark.createDataFrame(rows, "x string, y string")
+    apart = docs.select("x", "y", fingerprint.canonical(F.col("x")).alias("cx"), fingerprint.canonical(F.col("y")).alias("cy")).filter("cx <> cy").collect()
+    assert [(ascii(r["x"]), ascii(r["y"])) for r in apart] == []
+
+
 def test_one_row_and_repeated_ids(spark):
     one = spark.createDataFrame([(4, "abcd")], "doc_id long, text string")
     assert fingerprint.fingerprints(one).first()["near_edited"] == 0.0

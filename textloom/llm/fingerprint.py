@@ -6,9 +6,10 @@ chained 64-bit xxhashes and its length; rows of one fingerprint form a bucket,
 and within a bucket bytes decide: two texts are alike (1.0) only if their
 canonical bytes are equal, otherwise not (0.0). An exact digest knows no degrees.
 
-Normalisation covers what one code point, or a letter with one or two combining
+Normalisation covers what one code point, or a letter with up to three combining
 marks in canonical order, becomes under NFKC; the tables come from Python's
-Unicode database.
+Unicode database. Hangul syllables are composed from their letters by arithmetic.
+Marks out of canonical order, and letters with more of them, are left as they are.
 
 Defined results: a null text is empty; null doc_ids come first; rows of one
 doc_id follow each other by a hash of the text; the only row is its own next
@@ -23,6 +24,7 @@ from __future__ import annotations
 import functools
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +33,8 @@ from pyspark.sql.window import Window
 from .common import table
 
 MIN_BUCKETS, MAX_BUCKETS, BUCKET_ROWS = 64, 4096, 100_000
-_MARKS = (0x0300, 0x036F)
+#: Marks that a pair does not begin with.
+_COMBINING = r"\x{300}-\x{36f}"
 #: Ranges of folded code points closer than this are searched as one; what does not fold maps to itself.
 _GAP = 48
 #: Code points below U+0100 that fold to nothing else; a text of them alone needs no table.
@@ -39,8 +42,8 @@ _PLAIN = r"[^\x00-\x9f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff]"
 
 
 @functools.cache
-def _folds() -> tuple[dict[str, str], list[tuple[int, int]]]:
-    """What single code points and letter-mark pairs become, and the ranges of the former. Built from the Unicode database."""
+def _folds() -> tuple[dict[str, str], list[tuple[int, int]], str]:
+    """What single code points and letter-mark pairs become, the ranges of the former, and the marks. Built from the Unicode database."""
     single: dict[str, str] = {}
     pairs: dict[str, str] = {}
     for c in range(0x80, sys.maxunicode + 1):
@@ -48,10 +51,10 @@ def _folds() -> tuple[dict[str, str], list[tuple[int, int]]]:
             continue
         x = chr(c)
         to = unicodedata.normalize("NFKC", x)
-        if to != x and c < 0x10000 and not to.isspace():
+        if to != x and not to.isspace():
             single[x] = to
         parts = unicodedata.decomposition(x).split()
-        if len(parts) == 2 and not parts[0].startswith("<") and _MARKS[0] <= int(parts[1], 16) <= _MARKS[1]:
+        if len(parts) == 2 and not parts[0].startswith("<"):
             pair = "".join(chr(int(p, 16)) for p in parts)
             if unicodedata.normalize("NFC", pair) == x:
                 pairs[pair] = x
@@ -61,27 +64,55 @@ def _folds() -> tuple[dict[str, str], list[tuple[int, int]]]:
             ranges[-1] = (ranges[-1][0], c)
         else:
             ranges.append((c, c))
-    return {**single, **pairs}, ranges
+    marks = "".join(f"\\x{{{ord(m):x}}}" for m in sorted({pair[1] for pair in pairs}))
+    return {**single, **pairs}, ranges, marks
+
+
+def _bound(text: Column, body: Callable[[Column], Column]) -> Column:
+    """body(text), with the text computed once: an array of one element binds it."""
+    return F.transform(F.array(text), body)[0]
 
 
 def _normalised(text: Column) -> Column:
-    folds, ranges = _folds()
-    marks = f"[\\x{{{_MARKS[0]:x}}}-\\x{{{_MARKS[1]:x}}}]"
+    folds, ranges, marks = _folds()
     compat = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-    pattern = f"([{compat}]|[^{marks[1:-1]}]{marks})"
     # one string literal, folded into a map once per plan
     to = F.str_to_map(F.lit("\x01".join(f"{a}\x02{b}" for a, b in folds.items())), F.lit("\x01"), F.lit("\x02"))
 
-    def once(t: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)))
+    def once(t: Column, pattern: str) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1)))
         return F.aggregate(found, t, lambda a, c: F.replace(a, c, F.coalesce(F.element_at(to, c), c)))
 
-    return F.when(text.rlike(_PLAIN), once(once(text))).otherwise(text)
+    def paired(t: Column) -> Column:
+        return _bound(t, lambda x: F.when(x.rlike(f"[{marks}]"), once(x, f"[^{_COMBINING}][{marks}]")).otherwise(x))
+
+    # single code points first: a letter that folds may begin a pair
+    return _bound(text, lambda x: F.when(x.rlike(_PLAIN), paired(paired(paired(once(x, f"[{compat}]"))))).otherwise(x))
+
+
+def _syllables(text: Column) -> Column:
+    """Leading, vowel and trailing letters of Hangul as the syllables that they make."""
+    lead, vowel, trail = r"[\x{1100}-\x{1112}]", r"[\x{1161}-\x{1175}]", r"[\x{11a8}-\x{11c2}]"
+    pattern = f"({lead}{vowel}{trail}?|[\\x{{ac00}}-\\x{{d7a3}}]{trail})"
+
+    def composed(c: Column) -> Column:
+        first, last = F.ascii(c), F.ascii(F.substring(c, -1, 1))
+        tail = F.when(last >= 0x11A8, last - 0x11A7).otherwise(0)
+        open_ = (first - 0xAC00) % 28 == 0
+        code = F.when(first < 0xAC00, 0xAC00 + ((first - 0x1100) * 21 + F.ascii(F.substring(c, 2, 1)) - 0x1161) * 28 + tail).when(open_, first + tail)
+        return F.coalesce(F.decode(F.unhex(F.hex(code.cast("long"))), "UTF-16BE"), c)
+
+    def whole(t: Column) -> Column:
+        # longest first: a syllable without a trailing letter is the beginning of others
+        found = F.array_sort(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1))), lambda x, y: F.length(y) - F.length(x))
+        return F.when(t.rlike(r"[\x{1100}-\x{1112}\x{11a8}-\x{11c2}]"), F.aggregate(found, t, lambda a, c: F.replace(a, c, composed(c)))).otherwise(t)
+
+    return _bound(text, whole)
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text column without nulls."""
-    t = F.lower(_normalised(text))
+    t = F.lower(_syllables(_normalised(text)))
     t = F.replace(F.replace(t, F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
     return F.trim(F.regexp_replace(t, r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+", " "))
 
