@@ -145,10 +145,7 @@ def _with_next(rows: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id, copies.
-
-    class_id: the smallest doc_id of equal fingerprints; copies: how many rows it has.
-    """
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Rows are not grouped here: see groups()."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("fingerprint", digest(canonical(F.col("text"))))
