@@ -7,7 +7,7 @@ import pytest
 
 tokenizers = pytest.importorskip("tokenizers")
 
-from textloom.llm import bpe, packing
+from textloom.llm import bpe, packing, vec
 
 EDGES = ["", " ", "\n", "a", "don't we'll", "'s's", "x  y\n\n z", "\t\t", "é中文 123²", "<|endoftext|>", "a<|endoftext|>b", "😀" * 3, "a" * 3000, "aa b" * 500, " " * 400, "\x00\x01", "ſ K"]
 
@@ -33,6 +33,37 @@ def test_ids_equal_the_tokenizers_library(reference):
     assert [v.decode(np.array(x, dtype=np.int64)) for x in got] == given
 
 
+def thue_morse(letters):
+    """Two different words of `letters` letters that every polynomial hash modulo 2**64 takes for one."""
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [512, 1024, 2048])
+def test_words_that_polynomials_confuse(reference, letters):
+    a, b = thue_morse(letters)
+    given = [a, b, f"{a} {b}", b]
+    got = [ids[x:y].tolist() for _, _, _, ids, at in bpe.encode_batch(pa.record_batch({"text": pa.array(given)}), bpe.vocabulary_path()) for x, y in zip(at[:-1], at[1:])]
+    assert got == [x.ids for x in reference.encode_batch(given, add_special_tokens=False)]
+
+
+def test_words_of_one_hash_are_told_apart_by_their_bytes(reference, monkeypatch):
+    monkeypatch.setattr(vec, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    given = ["some words of one hash", "", "words again of some"]
+    got = [ids[x:y].tolist() for _, _, _, ids, at in bpe.encode_batch(pa.record_batch({"text": pa.array(given)}), bpe.vocabulary_path()) for x, y in zip(at[:-1], at[1:])]
+    assert got == [x.ids for x in reference.encode_batch(given, add_special_tokens=False)]
+
+
+def test_hashes_of_spans():
+    data = np.frombuffer(b"abcdefgh abcdefgh abcdefghi abcdefghi" + bytes(20), dtype=np.uint8)
+    starts, ends = np.array([0, 9, 18, 28, 37, 38]), np.array([8, 17, 27, 37, 38, 40])
+    h = vec.span_hashes(data, starts, ends)
+    assert h[0] == h[1] and h[2] == h[3] and len(set(h.tolist())) == 4
+    assert vec.equal_spans(data, starts, ends, np.array([1, 0, 3, 3, 4, 4])).tolist() == [True, True, True, True, True, False]
+
+
 def test_decoding_of_cut_characters(reference):
     v = bpe.vocabulary(bpe.vocabulary_path())
     rng = random.Random(1)

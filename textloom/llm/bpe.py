@@ -5,12 +5,15 @@ by a regular-expression engine). For each distinct word of a slice, every
 prefix has exactly one last token: the one that ends there in the automaton of
 vocabulary suffixes and forms a valid pair with the last token of the prefix
 before it. Following back-pointers from the whole word gives the exact ids.
-Words are solved in lockstep, one array step per byte position.
+Words are solved in lockstep, one array step per byte position. The automaton is
+a trie in a hash table with links to the longest proper suffix (about 3 MB).
 
 Defined results: a null text is empty (no ids); special tokens' strings in a
 text become their ids, as the tokenizers library does; texts of any length are
 processed whole; a word longer than `LOCKSTEP_BYTES` is solved alone by the same
-recurrence, so memory follows the longest document. Only map tasks: no shuffle.
+recurrence, so memory follows the longest document; repeated rows and doc_ids are
+encoded each, null doc_ids too; an empty table gives no row; columns beside doc_id
+and text are ignored, whatever their names. Only map tasks: no shuffle.
 """
 
 from __future__ import annotations
@@ -27,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import vec
-from .common import table
+from .common import released, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LOCKSTEP_BYTES = 64
+#: Prefixes of words that are solved at once, and bytes of text that one call looks at (a longer text goes alone).
+CELLS = 1_000_000
+SLICE_BYTES = 1_000_000
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 
 
@@ -109,9 +115,9 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         to_byte = self._byte_letters()
-        self.tokens: dict[int, bytes] = {i: bytes(to_byte[c] for c in t) for t, i in vocab.items() if t not in self.special}
-        ids = {b: i for i, b in self.tokens.items()}
-        size = max([*self.tokens, *self.special.values()]) + 1
+        tokens: dict[int, bytes] = {i: bytes(to_byte[c] for c in t) for t, i in vocab.items() if t not in self.special}
+        ids = {b: i for i, b in tokens.items()}
+        size = max([*tokens, *self.special.values()]) + 1
         self.byte_id = np.array([ids[bytes([b])] for b in range(256)], dtype=np.int64)
         rank = {}
         left, right = np.arange(size), np.arange(size)
@@ -134,8 +140,14 @@ class Vocabulary:
         self.pairs, self.made = np.array(pairs)[order], np.array(made)[order]
         self.pair_rank = np.array(ranks)[order]
         self.length = np.zeros(size, dtype=np.int64)
-        for i, b in self.tokens.items():
+        for i, b in tokens.items():
             self.length[i] = len(b)
+        names = [tokens.get(i, b"") for i in range(size)]
+        for text, i in self.special.items():
+            names[i] = text.encode()
+        #: All token bytes in id order and where each starts.
+        self.flat = np.frombuffer(b"".join(names), dtype=np.uint8), np.append(0, np.cumsum([len(x) for x in names]))
+        del spec, vocab, merges, rank, pairs, made, ranks, names, tokens
         self._automaton(ids)
         self.cache_key = np.full(1 << 20, -1, dtype=np.int64)
         self.cache_ok = np.zeros(1 << 20, dtype=bool)
@@ -148,46 +160,78 @@ class Vocabulary:
         return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
     def _automaton(self, ids: dict[bytes, int]) -> None:
-        """States are prefixes of tokens; next state by (state, byte), longest token that ends a state, next shorter one."""
-        children: dict[int, list[tuple[int, int]]] = {}
+        """States are prefixes of tokens: edges of their trie in a hash table, the state of the longest proper suffix, the longest token that ends a state, each token's next shorter one."""
         known: dict[bytes, int] = {b"": 0}
-        token_at = [-1]
+        parent, letter, token_at = [0], [0], [-1]
         for b, i in ids.items():
             for k in range(1, len(b) + 1):
                 if b[:k] not in known:
                     known[b[:k]] = len(token_at)
-                    children.setdefault(known[b[: k - 1]], []).append((b[k - 1], len(token_at)))
+                    parent.append(known[b[: k - 1]])
+                    letter.append(b[k - 1])
                     token_at.append(-1)
             token_at[known[b]] = i
-        del known
-        n = len(token_at)
-        go = np.zeros((n, 256), dtype=np.int32)
-        longest = np.full(n, -1, dtype=np.int64)
-        shorter = np.full(self.size, -1, dtype=np.int64)
-        fail = [0] * n
-        level = [0]
-        while level:
-            below = []
-            for s in level:
-                f = fail[s]
-                if s:
-                    go[s] = go[f]
-                t = token_at[s]
-                if t >= 0:
-                    longest[s], shorter[t] = t, longest[f]
-                else:
-                    longest[s] = longest[f]
-                for c, k in children.get(s, ()):
-                    fail[k] = int(go[s, c]) if s else 0
-                    below.append(k)
-                for c, k in children.get(s, ()):
-                    go[s, c] = k
-            level = below
-        self.go, self.longest, self.shorter = go, longest, shorter
+        known.clear()
+        up, by, token = (np.array(x, dtype=np.int32) for x in (parent, letter, token_at))
+        n = len(up)
+        self.edge_key, self.edge_to = self._hashed((up[1:] << 8) | by[1:], np.arange(1, n, dtype=np.int32))
+        depth = np.zeros(n, dtype=np.int32)
+        for s in range(1, n):  # a parent comes before its children
+            depth[s] = depth[parent[s]] + 1
+        self.fail = np.zeros(n, dtype=np.int32)
+        longest = np.full(n, -1, dtype=np.int32)
+        shorter = np.full(self.size, -1, dtype=np.int32)
+        for d in range(1, int(depth.max()) + 1):
+            at = np.flatnonzero(depth == d)
+            if d > 1:
+                self.fail[at] = self.step(self.fail[up[at]], by[at])
+            below = longest[self.fail[at]]
+            ends = token[at] >= 0
+            longest[at] = np.where(ends, token[at], below)
+            shorter[token[at[ends]]] = below[ends]
+        self.longest, self.shorter = longest, shorter
+
+    @staticmethod
+    def _slots(key: np.ndarray, size: int) -> np.ndarray:
+        return (vec.mix(key.astype(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
+
+    def _hashed(self, key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A table with open addressing, a third full at most."""
+        size = 1 << (3 * len(key)).bit_length()
+        keys, values = np.full(size, -1, dtype=np.int32), np.full(size, -1, dtype=np.int32)
+        at, left = self._slots(key, size), np.arange(len(key))
+        while len(left):
+            free = left[keys[at[left]] < 0]
+            keys[at[free]] = key[free]  # of several, the last one stays
+            values[at[free]] = value[free]
+            left = left[keys[at[left]] != key[left]]
+            at[left] = (at[left] + 1) & (size - 1)
+        return keys, values
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The states after one more byte: the longest suffix that goes on."""
+        out = np.zeros(len(state), dtype=np.int32)
+        here, live = state.astype(np.int32), np.arange(len(state))
+        letter = letter.astype(np.int32)
+        size = len(self.edge_key)
+        while len(live):
+            key = (here[live] << 8) | letter[live]
+            at = self._slots(key, size)
+            found = self.edge_key[at]
+            probe = np.flatnonzero((found != key) & (found >= 0))
+            while len(probe):
+                at[probe] = (at[probe] + 1) & (size - 1)
+                found[probe] = self.edge_key[at[probe]]
+                probe = probe[(found[probe] != key[probe]) & (found[probe] >= 0)]
+            hit = found == key
+            out[live[hit]] = self.edge_to[at[hit]]
+            live = live[~hit & (here[live] > 0)]
+            here[live] = self.fail[here[live]]
+        return out
 
     def valid(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether tokens a and b side by side stay as they are; a < 0 (nothing before) is valid."""
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         slot = (vec.mix(key.astype(np.uint64)) >> np.uint64(44)).astype(np.int64)
         ok = np.where(a < 0, True, self.cache_ok[slot])
         miss = np.flatnonzero((a >= 0) & (self.cache_key[slot] != key))
@@ -238,7 +282,7 @@ class Vocabulary:
         while a < len(order):
             width = int(size[order[a]])
             b = int(np.searchsorted(size[order], max(width, min(2 * width, LOCKSTEP_BYTES)), side="right"))
-            b = min(b, a + max(1, 4_000_000 // max(1, int(size[order[b - 1]]))))
+            b = min(b, a + max(1, CELLS // max(1, int(size[order[b - 1]]))))
             group = order[a:b]
             parts.append((group, self._lockstep(data, starts[group], size[group])))
             counts[group] = (parts[-1][1] >= 0).sum(axis=1)
@@ -247,25 +291,25 @@ class Vocabulary:
         first = np.cumsum(counts) - counts
         for group, found in parts:
             keep = found >= 0
-            rank = np.cumsum(keep, axis=1) - 1
+            rank = np.cumsum(keep, axis=1, dtype=np.int32) - 1
             ids[(first[group][:, None] + rank)[keep]] = found[keep]
         return ids, counts
 
     def _lockstep(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
         """[word, position]: the token that starts there, or -1."""
         n, width = len(starts), int(size.max(initial=0))
-        last = np.full((width + 1, n), -1, dtype=np.int64)
-        state = np.zeros(n, dtype=np.int64)
+        last = np.full((width + 1, n), -1, dtype=np.int32)
+        state = np.zeros(n, dtype=np.int32)
         for i in range(1, width + 1):
             live = np.flatnonzero(size >= i)
-            state[live] = self.go[state[live], data[starts[live] + i - 1]]
+            state[live] = self.step(state[live], data[starts[live] + i - 1])
             token = self.longest[state[live]]
             while len(live):
                 before = i - self.length[token]
                 ok = self.valid(last[before, live], token)
                 last[i, live[ok]] = token[ok]
                 live, token = live[~ok], self.shorter[token[~ok]]
-        out = np.full((n, width), -1, dtype=np.int64)
+        out = np.full((n, width), -1, dtype=np.int32)
         at, live = size.copy(), np.arange(n)
         while len(live):
             token = last[at[live], live]
@@ -274,15 +318,6 @@ class Vocabulary:
             live = live[at[live] > 0]
         return out
 
-    @functools.cached_property
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        """All token bytes in id order and where each starts."""
-        names = [self.tokens.get(i, b"") for i in range(self.size)]
-        for text, i in self.special.items():
-            names[i] = text.encode()
-        lengths = np.array([len(x) for x in names], dtype=np.int64)
-        return np.frombuffer(b"".join(names), dtype=np.uint8), np.append(0, np.cumsum(lengths))
-
     def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids."""
         flat, at = self.flat
@@ -315,8 +350,13 @@ class Vocabulary:
             a, b = np.searchsorted(starts, [s, e])
             drop[a:b] = True
             drop[a], special[a] = False, i
-        hashes = vec.span_hashes(vec.byte_values(data), starts, ends)
+        hashes = vec.span_hashes(data, starts, ends)
         _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        # words of one hash are one word only if their bytes are: any other is solved on its own
+        other = np.flatnonzero(~vec.equal_spans(data, starts, ends, first[word]))
+        if len(other):
+            word[other] = len(first) + np.arange(len(other))
+            first = np.concatenate([first, other])
         ids, counts = self.solve(data, starts[first], ends[first])
         begin = np.cumsum(counts) - counts
         n = counts[word]
@@ -344,7 +384,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encode_batch(batch: pa.RecordBatch, path: str, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, bytes, byte offsets, ids, id offsets) of the batch's slices."""
-    for part in vec.slices(batch, column):
+    for part in vec.slices(batch, column, SLICE_BYTES):
         data, offsets = vec.buffers(part.column(column))
         yield part, data, offsets, *vocabulary(path).encode_column(data, offsets)
 
@@ -361,7 +401,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
                 decoded = [hashlib.sha256(vocabulary(path).decode(ids[a:b]).encode()).hexdigest() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

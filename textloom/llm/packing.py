@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import bpe
-from .common import cut, table
+from .common import cut, released, table
 
 LENGTH = 1024
 SHARD_TOKENS = 1 << 22
@@ -51,7 +51,7 @@ def tokenise(docs: DataFrame, path: str, by: str = "source") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("doc_id").cast(pa.int64()), part.column("queue"), pa.array(np.diff(at) + 1, pa.int64()), blob.cast(pa.binary())], ["uid", "doc_id", "queue", "n", "ids"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.col(by).cast("string").alias("queue"), "text")
-    return rows.mapInArrow(run, "uid long, doc_id long, queue string, n long, ids binary")
+    return rows.mapInArrow(released(run), "uid long, doc_id long, queue string, n long, ids binary")
 
 
 def sequence_sizes(total: int, length: int) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .common import cut, table
+from .common import cut, released, table
 from .training import SAMPLE_ROWS, held_out, sample
 
 FEATURES = 384
@@ -77,7 +77,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     bare = _sums(lettered == 0, doc, docs) / some
     marked = _sums((symbols[end] > symbols[start]) & (lettered > 0), doc, docs) / some
     shout = _sums((capitals[end] - capitals[start] == lettered) & (lettered > 1), doc, docs) / some
-    hashes = vec.span_hashes(vec.byte_values(vec.ascii_lower(data)), start, end)
+    hashes = vec.span_hashes(vec.ascii_lower(data), start, end)
     same = lambda k: _sums((hashes[k:] == hashes[:-k]) & (doc[k:] == doc[:-k]), doc[k:], docs) / some if len(hashes) > k else np.zeros(docs)
     again, top = _again(hashes, doc, docs)
 
@@ -100,7 +100,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     a, b = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     line_doc = doc_of[a] if len(a) else np.zeros(0, np.int64)
     lines = np.bincount(line_doc, minlength=docs)
-    lines_again = _again(vec.span_hashes(vec.byte_values(data), a, b), line_doc, docs)[0] / np.maximum(lines, 1)
+    lines_again = _again(vec.span_hashes(data, a, b), line_doc, docs)[0] / np.maximum(lines, 1)
     return np.stack([
         np.log1p(size), np.log1p(n), np.log1p(mean), np.log1p(spread), *shares.T, bare, marked, shout, same(1), same(2),
         (n - again) / some, top / some, windows(2), windows(5), np.log1p(lines), np.log1p(n / np.maximum(lines, 1)), lines_again,
@@ -158,7 +158,7 @@ def _table(docs: DataFrame, extra: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in extra), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], [*extra, "x"])
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return docs.select(*extra, "text").mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in extra), "x array<double>"]))
+    return docs.select(*extra, "text").mapInArrow(released(run), ", ".join([*(f"`{c}` {types[c]}" for c in extra), "x array<double>"]))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -212,7 +212,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(statistics(*vec.buffers(part.column("text")))))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    scored = docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import vec
-from .common import cut, table
+from .common import cut, released, table
 
 LENGTH = 100
 GRAM = 48
@@ -72,21 +72,23 @@ def block_slices(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarra
 
 
 class Hashes:
-    """Prefix sums of a polynomial over data, for the hash of any part of it."""
+    """Prefix sums of a polynomial over the mixed eight bytes from each byte (single bytes for shorter grams), for the hash of any part of data."""
 
-    def __init__(self, data: np.ndarray):
-        n = len(data)
+    def __init__(self, data: np.ndarray, width: int = 8):
+        n = max(0, len(data) - width + 1)
+        self.width, self.size = width, len(data)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(vec.byte_values(data) * vec.powers(max(n, 1))[:n], out=self.sums[1:])
-        self.inverse = vec.powers(max(n, 1), vec._INVERSE)
+        values = vec.mix(vec.lanes(data)[:n]) if width == 8 else vec.byte_values(data)
+        np.cumsum(values * vec.powers(max(n, 1))[:n], out=self.sums[1:])
+        self.inverse = vec.powers(n + 1, vec._INVERSE)
 
     def grams(self, size: int) -> np.ndarray:
         """Of the `size` bytes from each byte that has so many."""
-        n = len(self.sums) - size
-        return vec.mix((self.sums[size:] - self.sums[:n]) * self.inverse[:n]) if n > 0 else np.zeros(0, np.uint64)
+        n, words = self.size - size + 1, size - self.width + 1
+        return vec.mix((self.sums[words : words + n] - self.sums[:n]) * self.inverse[:n]) if n > 0 else np.zeros(0, np.uint64)
 
     def spans(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        h = (self.sums[start + size] - self.sums[start]) * self.inverse[start]
+        h = (self.sums[start + size - (self.width - 1)] - self.sums[start]) * self.inverse[start]
         return vec.mix(h ^ (size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
 
 
@@ -107,7 +109,7 @@ def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs(data: np.ndarray, offsets: np.ndarray, common: np.ndarray | None, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Hashes]:
     """doc, start (byte in data), count of starts, key (anchor's hash) of each run. common: bit table."""
-    sums = Hashes(data)
+    sums = Hashes(data, 8 if gram >= 8 else 1)
     h = sums.grams(gram) >> np.uint64(1)
     if len(data) < length:
         return (*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64)), sums)
@@ -266,7 +268,7 @@ def _common(docs: DataFrame, length: int, gram: int) -> np.ndarray:
         keep = counts >= COMMON_LEAST
         yield pa.RecordBatch.from_arrays([pa.array(seen[keep].view(np.int64)), pa.array(counts[keep])], ["key", "c"])
 
-    best = docs.select("id", "text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(COMMON)
+    best = docs.select("id", "text").mapInArrow(released(run), "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(COMMON)
     return _bit_table(best, COMMON_BITS, "key")
 
 
@@ -306,7 +308,7 @@ def _run_rows(docs: DataFrame, common, length: int, gram: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("id", "text").mapInArrow(run, "key long, text_hash long, id long, start long, count long, again boolean")
+    return docs.select("id", "text").mapInArrow(released(run), "key long, text_hash long, id long, start long, count long, again boolean")
 
 
 def _sorted_runs(rows: DataFrame) -> DataFrame:
@@ -359,7 +361,7 @@ def _sorted_runs(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns[2:]), pa.array(again), pa.array(place)], ["id", "start", "count", "again", "place"])
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "text_hash", "id", "start")
-    return ordered.mapInArrow(run, "id long, start long, count long, again boolean, place long")
+    return ordered.mapInArrow(released(run), "id long, start long, count long, again boolean, place long")
 
 
 def _run_texts(docs: DataFrame, common, wanted, bits: int, length: int, gram: int) -> DataFrame:
@@ -376,7 +378,7 @@ def _run_texts(docs: DataFrame, common, wanted, bits: int, length: int, gram: in
                 doc = doc[keep]
                 yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)), pa.array(ids[doc]), pa.array(start[keep] - offsets[doc] + base[doc]), pa.array(count[keep]), pa.array(texts, pa.binary())], ["key", "id", "start", "count", "bytes"])
 
-    return docs.select("id", "text").mapInArrow(run, "key long, id long, start long, count long, bytes binary")
+    return docs.select("id", "text").mapInArrow(released(run), "key long, id long, start long, count long, bytes binary")
 
 
 def _earlier(texts: DataFrame, length: int) -> DataFrame:
@@ -415,7 +417,7 @@ def _earlier(texts: DataFrame, length: int) -> DataFrame:
         if rows:
             yield flush(rows)
 
-    return texts.repartition("key").sortWithinPartitions("key", "id", "start").mapInArrow(run, "id long, start long, count long")
+    return texts.repartition("key").sortWithinPartitions("key", "id", "start").mapInArrow(released(run), "id long, start long, count long")
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -459,7 +461,7 @@ def _kept(docs: DataFrame, length: int, gram: int, columns: str, finish, carry:
             yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(names), types)), batch.column("rest")], [*names, "rest"])
 
     joined = rows.join(places.hint("shuffle_hash"), "id", "left")
-    return joined.select("doc_id", "text", "start", "count", "rest").mapInArrow(run, f"{columns}, rest {rows.schema['rest'].dataType.simpleString()}")
+    return joined.select("doc_id", "text", "start", "count", "rest").mapInArrow(released(run), f"{columns}, rest {rows.schema['rest'].dataType.simpleString()}")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

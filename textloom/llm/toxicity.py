@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 from .bpe import code_points
-from .common import cut, table
+from .common import cut, released, table
 from .training import SAMPLE_ROWS, held_out, sample
 
 FUZZY = (5, 9)
@@ -201,7 +201,7 @@ def features(data: np.ndarray, offsets: np.ndarray, pure: Matcher, doubtful: Mat
     full = np.flatnonzero(end > start)
     cost = np.full((2, len(start)), 9, dtype=np.int8)
     if len(full):
-        hashes = vec.span_hashes(vec.byte_values(data), start[full], end[full])
+        hashes = vec.span_hashes(data, start[full], end[full])
         _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
         a, b = start[full][first], end[full][first]
         # only the distinct words are read as code points
@@ -353,7 +353,7 @@ class Model:
         weights = self.weights
         types = {f.name: f.dataType.simpleString() for f in docs.schema}
         run = _feature_rows(self.terms, keep, [(name, pa.float64())], lambda x: [1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))])
-        return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{name}` double"]))
+        return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(released(run), ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{name}` double"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:

@@ -103,14 +103,51 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of values[start:end]; spans are ordered, disjoint and not empty."""
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte as one word; past the end they are zeros."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+#: What is left of a word when only its first 0 to 8 bytes count.
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes data[start:end].
+
+    Eight bytes at a time are mixed with their place and summed, so no regular
+    text (as the Thue-Morse words are for polynomials modulo 2**64) makes two spans meet.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(len(values)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * powers(len(values), _INVERSE)[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
+    word, size = lanes(data), ends - starts
+    out = mix(word[starts] & _KEEP[np.minimum(size, 8)])
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        count = (size[long] + 7) >> 3
+        first = np.cumsum(count) - count
+        place = np.arange(int(count.sum())) - np.repeat(first, count)
+        at = np.repeat(starts[long], count) + 8 * place
+        value = word[at] & _KEEP[np.minimum(np.repeat(ends[long], count) - at, 8)]
+        out[long] = np.add.reduceat(mix(mix(value) ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))), first)
+    return mix(out ^ (size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
+
+
+def equal_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each span has the bytes of the span that `other` points to."""
+    size = ends - starts
+    same = size == size[other]
+    word = lanes(data)
+    same &= ((word[starts] ^ word[starts[other]]) & _KEEP[np.minimum(size, 8)]) == 0
+    long = np.flatnonzero(same & (size > 8) & (other != np.arange(len(starts))))
+    if len(long):
+        count = (size[long] + 7) >> 3
+        first = np.cumsum(count) - count
+        place = 8 * (np.arange(int(count.sum())) - np.repeat(first, count))
+        differ = (word[np.repeat(starts[long], count) + place] ^ word[np.repeat(starts[other[long]], count) + place]) & _KEEP[np.minimum(np.repeat(size[long], count) - place, 8)]
+        same[long] &= np.bitwise_or.reduceat(differ, first) == 0
+    return same
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
