@@ -6,13 +6,17 @@ explains toxic documents that none before explains. Matching: the product of a
 Levenshtein automaton (one edit from `FUZZY[0]` letters on, two from
 `FUZZY[1]`) and the trie of the lexicon, made deterministic as words call for
 its states, runs over a slice's distinct words in lockstep. Each hit looks at
-`WINDOW` words on either side: between quotation marks it counts as quoted.
+`WINDOW` words on either side: between an opening and a closing quotation mark of
+one family it counts as quoted. A mark opens before a word and closes after one;
+between two letters it is an apostrophe.
 A logistic regression over counts of exact, misspelled and quoted hits and
 their density gives the score.
 
 Defined results: a null or empty text has no hits and the lowest score; repeated
 rows are scored alike; without labelled rows of both kinds every score is the
-share of toxic labels (0 without any). Texts are read whole. labels, lang,
+share of toxic labels (0 without any); an empty table gives no row; equal texts
+have equal scores, whatever stands beside them; columns beside doc_id and text are
+ignored, whatever their names. Texts and words of any length are read whole. labels, lang,
 source and doc_id are no inputs of a score. Memory: a slice of texts and the
 automaton; the fit reads at most `rows` labelled documents.
 """
@@ -40,9 +44,12 @@ STRONG_SHARE = 0.05
 PREFIX_LETTERS = (3, 10)
 MAX_CANDIDATES, MAX_TERMS = 4000, 400
 THRESHOLD = 0.7
-_MARKS = '!"#$%&\'()*+,-./:;<=>?@[\\]^_`{|}~'
-#: Quotation marks that open or close a passage.
-_QUOTES = ['"', "“", "”", "„", "«", "»", "‘", "’"]
+#: What is no part of a word at its ends: ASCII marks, general punctuation, CJK punctuation but for its letters, and a few of Latin-1.
+_ASCII_MARKS = '!"#$%&\'()*+,-./:;<=>?@[\\]^_`{|}~'
+_MARKS = _ASCII_MARKS + "¡«·»¿" + "".join(map(chr, range(0x2000, 0x2040))) + "".join(chr(c) for c in range(0x3000, 0x3040) if not 0x3005 <= c <= 0x3007)
+#: Quotation marks by family; a passage ends with a mark of the family that opened it.
+_FAMILY = {m: k for k, ms in enumerate(['"“”„‟', "«»", "‹›", "'‘’‚‛", "「」", "『』"]) for m in ms}
+_OPENS, _CLOSES = frozenset("“„‟«‹‘‚‛「『"), frozenset("”»›’」』")
 
 
 class Matcher:
@@ -145,48 +152,89 @@ class Matcher:
         return out
 
 
+def _marked(data: np.ndarray) -> np.ndarray:
+    """Which bytes are of marks (`_MARKS`)."""
+    out = np.zeros(256, dtype=bool)
+    out[list(_ASCII_MARKS.encode())] = True
+    out = out[data]
+    two = np.flatnonzero((data[:-1] == 0xC2) & np.isin(data[1:], [0xA1, 0xAB, 0xB7, 0xBB, 0xBF]))
+    out[two] = out[two + 1] = True
+    if len(data) > 2:
+        third = data[2:]
+        three = np.flatnonzero(((data[:-2] == 0xE2) & (data[1:-1] == 0x80)) | ((data[:-2] == 0xE3) & (data[1:-1] == 0x80) & ~((third >= 0x85) & (third <= 0x87))))
+        for k in range(3):
+            out[three + k] = True
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: start and end without ASCII marks at its ends, document, raw start, raw end."""
+    """Per word: start and end without marks at its ends, document, raw start, raw end."""
     raw_start, raw_end, doc = vec.word_spans(data, offsets)
-    mark = np.zeros(256, dtype=bool)
-    mark[list(_MARKS.encode())] = True
+    mark = _marked(data)
     start, end = raw_start.copy(), raw_end.copy()
-    live = np.flatnonzero(mark[data[start]]) if len(start) else start
-    while len(live):
-        start[live] += 1
-        live = live[(start[live] < end[live])]
-        live = live[mark[data[start[live]]]]
-    live = np.flatnonzero((end > start) & mark[data[np.maximum(end, 1) - 1]]) if len(end) else end
-    while len(live):
-        end[live] -= 1
-        live = live[end[live] > start[live]]
-        live = live[mark[data[end[live] - 1]]]
+    # runs of marks are left in one step: the next byte that is none, the last that is none
+    at = np.arange(len(data))
+    after = np.minimum.accumulate(np.where(mark, len(data), at)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(mark, -1, at))
+    if len(start):
+        start = np.minimum(after[start], end)
+        end = np.where(start < end, before[end - 1] + 1, end)
     return start, end, doc, raw_start, raw_end
 
 
-def _quoted(data: np.ndarray, raw_start: np.ndarray, raw_end: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> np.ndarray:
-    """Whether marks of quotation stand on both sides of a hit within its window, an odd number before it in the text."""
-    n = len(raw_start)
-    total = np.zeros(len(data) + 1, dtype=np.int32)
-    mark = np.zeros(len(data), dtype=bool)
-    for q in _QUOTES:
-        b = q.encode()
-        if len(b) == 1:
-            mark |= data == b[0]
-        elif len(data) >= len(b):
-            same = np.ones(len(data) - len(b) + 1, dtype=bool)
-            for j, c in enumerate(b):
-                same &= data[j : len(data) - len(b) + 1 + j] == c
-            mark[: len(same)] |= same
-    np.cumsum(mark, out=total[1:])
+def _turns(text: str, before: str, after: str) -> list[tuple[int, bool]]:
+    """(family, opens) of the quotation marks of a text, by what stands on either side; before, after: the letters around it."""
+    out = []
+    for i, c in enumerate(text):
+        if c not in _FAMILY:
+            continue
+        left, right = text[i - 1] if i else before, text[i + 1] if i + 1 < len(text) else after
+        family = _FAMILY[c]
+        if family >= 4:  # no blanks in such texts: the mark itself tells
+            out.append((family, c in _OPENS))
+        elif left.isalnum() and right.isalnum():
+            if family != 3 and c in _OPENS | _CLOSES:
+                out.append((family, c in _OPENS))
+        elif right.isalnum() or (left.isspace() and not right.isspace()):
+            out.append((family, True))
+        elif left.isalnum() or (right.isspace() and not left.isspace()):
+            out.append((family, False))
+        elif c in _OPENS | _CLOSES:
+            out.append((family, c in _OPENS))
+    return out
+
+
+def enclosed(before: str, after: str) -> bool:
+    """Whether a word with these texts before and after it stands in a quotation."""
+    last = dict(_turns(before, " ", "x"))
+    seen = set()
+    for family, opens in _turns(after, "x", " "):
+        if family not in seen and not opens and last.get(family):
+            return True
+        seen.add(family)
+    return False
+
+
+def _quoted(data: np.ndarray, start: np.ndarray, end: np.ndarray, raw_start: np.ndarray, raw_end: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Whether each hit stands in a quotation that opens and closes within its window."""
+    out = np.zeros(len(hits), dtype=bool)
+    if not len(hits):
+        return out
     first = np.searchsorted(doc, doc[hits], side="left")
     last = np.searchsorted(doc, doc[hits], side="right") - 1
-    a, b = np.maximum(hits - WINDOW, first), np.minimum(hits + WINDOW, last)
-    middle = (raw_start[hits] + raw_end[hits]) // 2
-    before, after = total[middle] - total[raw_start[a]], total[np.minimum(raw_end[b], len(data))] - total[middle]
-    opened = (total[middle] - total[raw_start[first]]) % 2 == 1
-    assert n or not len(hits)
-    return (before > 0) & (after > 0) & opened
+    a, b = raw_start[np.maximum(hits - WINDOW, first)], raw_end[np.minimum(hits + WINDOW, last)]
+    # marks by their last byte; only windows with two of them are read as text
+    lead = np.isin(data, [0x22, 0x27])
+    third = data[2:]
+    lead[2:] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (((third >= 0x98) & (third <= 0x9F)) | (third == 0xB9) | (third == 0xBA))
+    lead[2:] |= (data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (third >= 0x8C) & (third <= 0x8F)
+    lead[1:] |= (data[:-1] == 0xC2) & ((data[1:] == 0xAB) | (data[1:] == 0xBB))
+    total = np.append(0, np.cumsum(lead))
+    some = np.flatnonzero((total[start[hits]] > total[a]) & (total[b] > total[end[hits]]))
+    for k in some.tolist():
+        h = hits[k]
+        out[k] = enclosed(data[a[k] : start[h]].tobytes().decode("utf-8", "replace"), data[end[h] : b[k]].tobytes().decode("utf-8", "replace"))
+    return out
 
 
 #: What the regression sees of a document.
@@ -214,7 +262,7 @@ def features(data: np.ndarray, offsets: np.ndarray, pure: Matcher, doubtful: Mat
             if len(matcher.children) > 1:
                 cost[k, full] = matcher.costs(points, *spans)[word]
     hits = np.flatnonzero((cost < 9).any(axis=0))
-    quoted = _quoted(data, raw_start, raw_end, doc, hits)
+    quoted = _quoted(data, start, end, raw_start, raw_end, doc, hits)
     count = lambda keep: np.bincount(doc[hits[keep]], minlength=docs)
     p, d = cost[0, hits], cost[1, hits]
     exact, near, said, unsure = count(~quoted & (p == 0)), count(~quoted & (p > 0) & (p < 9)), count(quoted), count(~quoted & (p > 0) & (d == 0))
