@@ -7,6 +7,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,27 @@ def test_quoted_hits_are_told_apart():
     assert near == [0, 0, 1, 0, 1]
 
 
+@pytest.mark.parametrize(("text", "quoted", "plain"), [
+    ("he said “moron” and left", 1, 0), ("“moron”", 1, 0), ("don’t you moron, it’s over", 0, 1), ("It’s sad “he said” you moron “they said”", 0, 1),
+    ("he wrote 'you moron' to them", 1, 0), ("don't you moron, it's over", 0, 1), ("„du moron“ sagte er", 1, 0), ("« vous moron »", 1, 0), ("»du moron«", 1, 0),
+    ('"he said" you moron "they said"', 0, 1), ("the dogs' moron and the cats' tail", 0, 1), ("…moron!", 0, 1), ("‘you moron’", 1, 0), ("x “you moron " + "w " * 20 + "” x", 0, 1),
+    ("彼は「moron」と言った", 0, 0), ("「moron」", 1, 0), ('"', 0, 0), ("moron", 0, 1),
+])
+def test_quotations_and_apostrophes(text, quoted, plain):
+    pure, none = toxicity.Matcher([("moron", False)]), toxicity.Matcher([])
+    x = toxicity.features(*vec.buffers(pa.array([text.lower()])), pure, none)
+    assert [round(float(np.expm1(x[0, k]))) for k in (2, 0)] == [quoted, plain]
+
+
+def test_marks_are_stripped_as_from_python_strings():
+    rng = random.Random(6)
+    letters = ["a", "é", "中", "々", "“", "…", "!", "'", "«", "。", "\u2003", "¿"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(500)]
+    data, offsets = vec.buffers(pa.array(texts))
+    start, end, doc, _, _ = toxicity.words(data, offsets)
+    assert [data[a:b].tobytes().decode() for a, b in zip(start, end)] == [t.strip(toxicity._MARKS) for t in texts]
+
+
 def labelled(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(300)]
@@ -307,6 +329,21 @@ def test_main_text_of_a_page():
     assert html_extract.extract(PAGE) == "Head & line\nFirst bold text.\nSecond part goes on.\none\ntwo"
 
 
+@pytest.mark.parametrize("hidden", [
+    "<script src=/js/app/>var hidden = 1;</script>", '<script src="/js/app/"/>hidden</script>', "<style/>p { hidden }</style >", "<svg><g><svg x='>'><text>hidden</text></svg><text>hidden</text></g></svg>",
+    "<svg/>", "<script>if (a </b) hidden = '<p>hidden</p>'</SCRIPT\n>", "<template><template>hidden</template>hidden</template>", "<noscript>hidden</noscript>", "<!-- <script> hidden -->",
+    "<script>document.write('<script>hidden'); hidden</script>",
+])
+def test_no_code_in_the_text(hidden):
+    page = PAGE.replace("<p>Second", hidden + "<p>Second")
+    assert html_extract.extract(page) == html_extract.extract(PAGE)
+
+
+def test_pages_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars int")
+    assert html_extract.main_text(empty).count() == 0
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "<p>"), (4, "u", "<nav>x</nav>"), (5, "u", "<article><p>" + "word " * 50_000), (6, "u", "a < b <3 <p"), (5, "u", "<article><p>a<p>b</article>")]
     docs = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, text string")

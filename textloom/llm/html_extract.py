@@ -10,7 +10,8 @@ the blocks of the article. The model is trained here, on labelled pages that
 
 Defined results: null or empty html, or a page without text, gives an empty text;
 unclosed, misplaced and unknown tags are tolerated; text outside any tag is a
-block; repeated rows are extracted alike; pages of any length are read whole.
+block; repeated rows are extracted alike, ties of two labellings go to the one without
+the article; an empty table gives no row; pages of any length are read whole.
 Columns beyond page_id, url and html are ignored. A map: no shuffle.
 """
 
@@ -34,6 +35,8 @@ SEED = 7
 BLOCK_TAGS = frozenset("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 #: Elements whose content is no text of the page.
 RAW_TAGS = frozenset("script style noscript template textarea svg object canvas xmp".split())
+#: Those of them that hold elements of their own name; the others are text up to their closing tag.
+NESTED_TAGS = frozenset("svg object template canvas".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag of the first kind ends an open element of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -75,6 +78,24 @@ def _kinds(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+@functools.cache
+def _tags_named(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){re.escape(tag)}(?![^\s/>])((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.I)
+
+
+def _end_of(tag: str, page: str, at: int) -> int:
+    """Where an element whose content begins at `at` ends; the page's end if it does not."""
+    depth = 1
+    for m in _tags_named(tag).finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif tag in NESTED_TAGS and not m[2].endswith("/"):
+            depth += 1
+        if not depth or (m[1] and tag not in NESTED_TAGS):
+            return m.end()
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in its order, those without text left out."""
     out: list[Block] = []
@@ -107,9 +128,9 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if tag in RAW_TAGS:
-            if not closing and not (rest or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+            # only an element of another language (svg) can close itself; <script src=/a/> does not
+            if not closing and not (tag in NESTED_TAGS and (rest or "").endswith("/")):
+                at = _end_of(tag, page, at)
             continue
         if tag == "a":
             links = 0 if closing else 1
