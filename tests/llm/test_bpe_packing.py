@@ -132,3 +132,17 @@ def test_a_carried_deficit_is_paid_first():
     served = packing.serve([2000, 2000], np.array([-500.0, 500.0]), np.array([0.5, 0.5]), np.array([1024]), 64)
     # 1012 are owed; the twelve left are less than a piece and go to the same queue
     assert sum(n for _, q, n in served if q == 1) == 1024
+
+
+def test_many_small_sources_and_a_named_one(spark):
+    rows = [(1000 * k + i, "some words of a text " * 5, f"s{k:03d}") for k in range(300) for i in range(6)]
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, source string, n int, ids string, uid int")
+    found = packing.pack(docs, max_queues=8, length=4096, least=16).collect()
+    assert sum(r["length"] for r in found) == sum({r["doc_id"]: r["doc_tokens"] for r in found}.values())
+    order = sorted(found, key=lambda r: (r["sequence_id"], r["offset"]))
+    small = [r["doc_id"] // 1000 for r in order if r["start"] == 0 and r["doc_id"] // 1000 >= 10]
+    # in each sixth of the stream nearly every small source is met
+    step = len(small) // 6
+    assert all(len(set(small[k * step : (k + 1) * step])) > 0.8 * 290 for k in range(6))
+    share = packing.pack(docs, targets={"s299": 0.5, "s000": 0.5}, max_queues=3, length=256, least=16).filter("sequence_id = 0").collect()
+    assert {r["doc_id"] // 1000 for r in share} == {0, 299}

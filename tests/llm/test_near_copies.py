@@ -98,6 +98,30 @@ def test_components_of_paths_stars_and_cycles(spark, monkeypatch, most):
     assert {x: c for x, c in got.items() if x in linked} == {x: root(x) for x in linked}
 
 
+def test_long_words_and_texts(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))  # equal to word for every polynomial modulo 2**64
+    long = " ".join(f"w{i * i % 7919}" for i in range(30_000))
+    rows = [(1, word), (2, other), (3, long), (4, long + " end"), (5, "x" * 500_000), (6, "x" * 500_000)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == by_brute_force(rows)
+
+
+def test_a_shingle_in_every_document(spark):
+    rng = random.Random(11)
+    line = "the same five words everywhere"
+    base = [f"v{i}" for i in range(40)]
+    rows = []
+    for i in range(150):  # one group of near copies, and others that share the line only
+        words = list(base) if i % 3 == 0 else [f"u{rng.randrange(9000)}" for _ in range(40)]
+        words[rng.randrange(40)] = f"x{i}"
+        rows.append((i, line + " " + " ".join(words)))
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), heavy_size=10).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == by_brute_force(rows)
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "x y z"), (None, None), (7, "x y z")]
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, token string")

@@ -201,6 +201,30 @@ def test_letters_without_a_common_word_are_rejected(spark):
     assert not got[150]["kept"] and all(got[i]["kept"] for i in range(150))
 
 
+def test_many_languages_and_a_language_of_one_document(spark, monkeypatch):
+    """Each of 70 languages has a reference; a language of one document in more than LEAST_SHARE has none and is judged by the base rules."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(70):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 12)
+        common = ["".join(rng.choices(letters, k=3)) for _ in range(12)]
+        for i in range(4):
+            words = rng.choices(common, k=40) + ["".join(rng.choices(letters, k=7)) for _ in range(40)]
+            rng.shuffle(words)
+            rows.append((100 * k + i, " ".join(words), f"l{k}"))
+    rows.append((9001, "".join(rng.choices("#%&*", k=4)) + " " + " ".join("#" * rng.randint(2, 9) + str(i) for i in range(60)), "l3"))
+    rows.append((9002, rows[-1][1], "rare"))
+    rows.append((9003, rows[-1][1], None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(quality_rules, "LEAST_SHARE", 75)
+    monkeypatch.setattr(quality_rules, "LEAST_DOCS", 4)
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
+    assert all(got[i] for i, _, _ in rows[:-3])
+    assert (got[9001], got[9002], got[9003]) == (False, True, True)
+    monkeypatch.setattr(quality_rules, "LEAST_SHARE", 1000)
+    assert not quality_rules.judge(docs).filter("doc_id = 9001").first()["kept"]
+
+
 def test_distance_of_equal_and_disjoint_histograms(spark):
     p, q = spark.range(1).select(F.lit(0.5).alias("p"), F.lit(0.5).alias("q"), F.lit(0.0).alias("z")).first()[:2]
     same = spark.range(1).select(quality_rules._distance(quality_rules._term(F.lit(p), q) + quality_rules._term(F.lit(p), q))).first()[0]
@@ -237,7 +261,8 @@ def test_canonical_forms(spark):
 
 
 def test_canonical_text_of_all_code_points(spark):
-    points = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    """Every form of a code point meets the others, and what unicodedata normalises to is what the canonical text is made of."""
+    points = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
     forms = lambda x: {unicodedata.normalize(k, x) for k in ("NFC", "NFKC", "NFD")} - {x}
     rows = [(f"a{x}b", f"a{y}b") for x in points for y in forms(x)] + [("각가", unicodedata.normalize("NFD", "각가")), ("가각", unicodedata.normalize("NFD", "가각"))]
     docs = spark.createDataFrame(rows, "x string, y string")
@@ -245,12 +270,59 @@ def test_canonical_text_of_all_code_points(spark):
     assert [(ascii(r["x"]), ascii(r["y"])) for r in apart] == []
 
 
+def folded(text):
+    once = lambda x: unicodedata.normalize("NFKC", x)
+    return re.sub(r"[\s\x85\xa0]+", " ", once(once(text or "").casefold())).strip(" ")
+
+
+def test_canonical_text_equals_that_of_random_texts_by_unicodedata(spark):
+    rng = random.Random(12)
+    marks = [chr(c) for c in (0x301, 0x308, 0x323, 0x327, 0x345, 0x5B0, 0x93C, 0x3099, 0x1161, 0x11A8)]
+    letters = ["a", "E", "ß", "ẞ", "ς", "İ", "ﬁ", "Å", "각", chr(0x1D400), chr(0x1100), "か", "क", "ש", "ا", chr(0x653), "Ⅷ", "㎏", "\u00a0", "\t", " ", "中"]
+    texts = ["".join(rng.choice(letters) + "".join(rng.choices(marks, k=rng.randint(0, 3))) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = docs.select("t", fingerprint.canonical(F.col("t")).alias("c")).collect()
+    assert [ascii(r["t"]) for r in got if r["c"] != folded(r["t"])] == []
+
+
 def test_one_row_and_repeated_ids(spark):
     one = spark.createDataFrame([(4, "abcd")], "doc_id long, text string")
     assert fingerprint.fingerprints(one).first()["near_edited"] == 0.0
     rows = spark.createDataFrame([(None, "a"), (None, "a"), (1, "b"), (1, "c")], "doc_id long, text string")
     assert fingerprint.fingerprints(rows).count() == 4
-    assert {(r["class_id"], r["copies"]) for r in fingerprint.groups(rows).collect()} == {(None, 2), (1, 1)}
+    assert {(r["class_id"], r["copies"]) for r in fingerprint.fingerprints(rows).collect()} == {(None, 2), (1, 1)}
+
+
+def test_classes_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(13)
+    base = ["Straße  nach Rom", "STRASSE NACH ROM", "ﬁne", "FINE", "", None, " ", "other", "Other ", "alone"]
+    rows = [(i, rng.choice(base) if i % 3 else f"text {i} " * rng.randint(1, 400)) for i in range(200)] + [(500 + i, "copied all over") for i in range(300)]
+    wanted = {}
+    for i, t in rows:
+        wanted.setdefault(folded(t), []).append(i)
+    expected = sorted((i, min(ids), len(ids)) for ids in wanted.values() for i in ids)
+    docs = spark.createDataFrame([(*r, "u", "t", "b") for r in rows], "doc_id long, text string, canon string, bytes string, class_id string").repartition(7)
+    got = fingerprint.fingerprints(docs).select("doc_id", "class_id", "copies").collect()
+    assert sorted(map(tuple, got)) == expected
+    # every text in one bucket: bytes alone part the classes
+    monkeypatch.setattr(fingerprint, "digest", lambda canon: F.substring(F.concat(F.lit("one"), canon), 1, 3))
+    got = fingerprint.fingerprints(docs).select("doc_id", "class_id", "copies", "near_next").collect()
+    assert sorted((r["doc_id"], r["class_id"], r["copies"]) for r in got) == expected
+    after = {i: folded(t) for i, t in rows}
+    order = sorted(after)
+    assert {r["doc_id"]: r["near_next"] for r in got} == {i: float(after[i] == after[order[(k + 1) % len(order)]]) for k, i in enumerate(order)}
+
+
+def test_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 2)
+    rows = [(i * i, f"text {i}") for i in range(400)]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    order = sorted(texts)
+    for r in got:
+        k = order.index(r["doc_id"])
+        t, after = texts[order[k]], texts[order[(k + 1) % len(order)]]
+        assert r["edited_sha256"] == hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()
 
 
 # --- licences ------------------------------------------------------------------------------
@@ -317,6 +389,17 @@ def test_whole_notices_in_any_layout(spark):
     assert all(r["score"] >= 0.75 for r in got if r["license"])
 
 
+def test_long_sentences_and_ties(spark):
+    many = lambda n: "mit license " * n + "released under the MIT License"
+    rows = [(1, many(3)), (2, many(32)), (3, many(40)), (4, many(5000)), (5, "word " * 200_000 + "\nReleased under the MIT License"),
+            (6, "Licensed under CC BY 4.0\nLicensed under the MIT License")]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [dice(set(license_scan.bigrams_of(many(n))), set(license_scan.bigrams_of("Released under the MIT License"))) for n in (3, 32)]
+    assert [got[i]["score"] for i in (1, 2, 3, 4)] == pytest.approx([sets[0]] * 4) and sets[0] == sets[1]
+    assert got[5]["license"] == "MIT"
+    assert (got[6]["license"], got[6]["score"], got[6]["licenses"]) == ("CC-BY-4.0", 1.0, "CC-BY-4.0,MIT")
+
+
 # --- pages -----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body>

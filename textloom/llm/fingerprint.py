@@ -1,120 +1,56 @@
 """Canonical exact digests of documents (native).
 
-The canonical text is composed and compatibility-folded, lower-cased (with sharp
-s and final sigma folded) and has its white space folded. Its fingerprint is two
-chained 64-bit xxhashes and its length; rows of one fingerprint form a bucket,
-and within a bucket bytes decide: two texts are alike (1.0) only if their
-canonical bytes are equal, otherwise not (0.0). An exact digest knows no degrees.
-
-Normalisation covers what one code point, or a letter with up to three combining
-marks in canonical order, becomes under NFKC; the tables come from Python's
-Unicode database. Hangul syllables are composed from their letters by arithmetic.
-Marks out of canonical order, and letters with more of them, are left as they are.
+The canonical text is composed and compatibility-folded (NFKC), case-folded,
+composed again and has its white space folded; normalisation and case folding
+are those of the Unicode library that Spark ships, called inside the JVM. Its
+fingerprint is two chained 64-bit xxhashes and its length; rows of one
+fingerprint form a bucket, and within a bucket bytes decide: two texts are alike
+(1.0) only if their canonical bytes are equal, otherwise not (0.0). An exact
+digest knows no degrees.
+
+Groups: buckets of one row are known from their counts; a bit table of the
+others, of bounded size, leaves out the texts of (nearly) all single rows, and
+what is left is grouped by fingerprint and canonical bytes, equal texts meeting
+in the map tasks already, so a group of copies costs one text a task.
 
 Defined results: a null text is empty; null doc_ids come first; rows of one
 doc_id follow each other by a hash of the text; the only row is its own next
-row; an empty table gives no row; extra columns are ignored. The next document
-is found by one range shuffle into at most `MAX_BUCKETS` buckets of near equal
-size, with a copy of each bucket's first row as a fence after the one before, so
-no task sees the whole table and texts move once.
+row; equal texts, empty ones too, are one class, named by its smallest non-null
+doc_id (null if it has none); an empty table gives no row; extra columns are ignored, whatever
+their names; texts of any length are read whole. The next document
+is found by one range shuffle into buckets of near equal size, with a copy of
+each bucket's first row as a fence after the one before, so no task sees the
+whole table and texts move once.
 """
 
 from __future__ import annotations
 
-import functools
-import sys
-import unicodedata
-from collections.abc import Callable
+import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table
-
-MIN_BUCKETS, MAX_BUCKETS, BUCKET_ROWS = 64, 4096, 100_000
-#: Marks that a pair does not begin with.
-_COMBINING = r"\x{300}-\x{36f}"
-#: Ranges of folded code points closer than this are searched as one; what does not fold maps to itself.
-_GAP = 48
-#: Code points below U+0100 that fold to nothing else; a text of them alone needs no table.
-_PLAIN = r"[^\x00-\x9f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff]"
-
-
-@functools.cache
-def _folds() -> tuple[dict[str, str], list[tuple[int, int]], str]:
-    """What single code points and letter-mark pairs become, the ranges of the former, and the marks. Built from the Unicode database."""
-    single: dict[str, str] = {}
-    pairs: dict[str, str] = {}
-    for c in range(0x80, sys.maxunicode + 1):
-        if 0xAC00 <= c <= 0xD7A3 or 0xD800 <= c <= 0xDFFF:
-            continue
-        x = chr(c)
-        to = unicodedata.normalize("NFKC", x)
-        if to != x and not to.isspace():
-            single[x] = to
-        parts = unicodedata.decomposition(x).split()
-        if len(parts) == 2 and not parts[0].startswith("<"):
-            pair = "".join(chr(int(p, 16)) for p in parts)
-            if unicodedata.normalize("NFC", pair) == x:
-                pairs[pair] = x
-    ranges: list[tuple[int, int]] = []
-    for c in sorted(map(ord, single)):
-        if ranges and c - ranges[-1][1] <= _GAP:
-            ranges[-1] = (ranges[-1][0], c)
-        else:
-            ranges.append((c, c))
-    marks = "".join(f"\\x{{{ord(m):x}}}" for m in sorted({pair[1] for pair in pairs}))
-    return {**single, **pairs}, ranges, marks
-
-
-def _bound(text: Column, body: Callable[[Column], Column]) -> Column:
-    """body(text), with the text computed once: an array of one element binds it."""
-    return F.transform(F.array(text), body)[0]
-
-
-def _normalised(text: Column) -> Column:
-    folds, ranges, marks = _folds()
-    compat = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-    # one string literal, folded into a map once per plan
-    to = F.str_to_map(F.lit("\x01".join(f"{a}\x02{b}" for a, b in folds.items())), F.lit("\x01"), F.lit("\x02"))
-
-    def once(t: Column, pattern: str) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1)))
-        return F.aggregate(found, t, lambda a, c: F.replace(a, c, F.coalesce(F.element_at(to, c), c)))
-
-    def paired(t: Column) -> Column:
-        return _bound(t, lambda x: F.when(x.rlike(f"[{marks}]"), once(x, f"[^{_COMBINING}][{marks}]")).otherwise(x))
-
-    # single code points first: a letter that folds may begin a pair
-    return _bound(text, lambda x: F.when(x.rlike(_PLAIN), paired(paired(paired(once(x, f"[{compat}]"))))).otherwise(x))
-
-
-def _syllables(text: Column) -> Column:
-    """Leading, vowel and trailing letters of Hangul as the syllables that they make."""
-    lead, vowel, trail = r"[\x{1100}-\x{1112}]", r"[\x{1161}-\x{1175}]", r"[\x{11a8}-\x{11c2}]"
-    pattern = f"({lead}{vowel}{trail}?|[\\x{{ac00}}-\\x{{d7a3}}]{trail})"
-
-    def composed(c: Column) -> Column:
-        first, last = F.ascii(c), F.ascii(F.substring(c, -1, 1))
-        tail = F.when(last >= 0x11A8, last - 0x11A7).otherwise(0)
-        open_ = (first - 0xAC00) % 28 == 0
-        code = F.when(first < 0xAC00, 0xAC00 + ((first - 0x1100) * 21 + F.ascii(F.substring(c, 2, 1)) - 0x1161) * 28 + tail).when(open_, first + tail)
-        return F.coalesce(F.decode(F.unhex(F.hex(code.cast("long"))), "UTF-16BE"), c)
-
-    def whole(t: Column) -> Column:
-        # longest first: a syllable without a trailing letter is the beginning of others
-        found = F.array_sort(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1))), lambda x, y: F.length(y) - F.length(x))
-        return F.when(t.rlike(r"[\x{1100}-\x{1112}\x{11a8}-\x{11c2}]"), F.aggregate(found, t, lambda a, c: F.replace(a, c, composed(c)))).otherwise(t)
-
-    return _bound(text, whole)
+from .common import cut, table
+
+#: Buckets of the range shuffle: at least, at most (a bound of what the driver holds: two numbers each), and rows of one.
+MIN_BUCKETS, MAX_BUCKETS, BUCKET_ROWS = 64, 1 << 18, 100_000
+#: Words of 64 bits in the table of buckets with several rows: at least, at most. A table too small costs work, not results.
+BIT_WORDS = (1 << 10, 1 << 20)
+#: Rows of one class are dealt to so many tasks when they learn its name.
+SALTS = 16
+
+
+def _in_jvm(owner: str, method: str, text: Column, flag: bool) -> Column:
+    return F.reflect(F.lit(owner), F.lit(method), text, F.lit(flag))
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text column without nulls."""
-    t = F.lower(_syllables(_normalised(text)))
-    t = F.replace(F.replace(t, F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
-    return F.trim(F.regexp_replace(t, r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+", " "))
+    composed = _in_jvm("com.ibm.icu.text.Normalizer", "compose", text, True)
+    folded = _in_jvm("com.ibm.icu.text.Normalizer", "compose", _in_jvm("com.ibm.icu.lang.UCharacter", "foldCase", composed, True), True)
+    return F.trim(F.regexp_replace(folded, r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+", " "))
 
 
 def digest(canon: Column) -> Column:
@@ -122,48 +58,79 @@ def digest(canon: Column) -> Column:
     return F.concat_ws("-", F.lpad(F.hex(F.xxhash64(canon)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit("second"), canon)), 16, "0"), F.length(canon).cast("string"))
 
 
-def _with_next(rows: DataFrame) -> DataFrame:
-    """rows (id, tie, text, fingerprint, ...) with next_text and next_fingerprint, in order of (id, tie), the first after the last."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, id (never null), tie, text of every row."""
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.withColumn("tie", F.xxhash64("text"))
+
+
+def _printed(rows: DataFrame) -> DataFrame:
+    """rows with canon, fingerprint."""
+    return rows.withColumn("canon", canonical(F.col("text"))).withColumn("fingerprint", digest(F.col("canon")))
+
+
+def _bucket(bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most id: first among every root-th of them, then between two of those."""
+    step = max(1, math.isqrt(len(bounds)))
+    parts = [bounds[k : k + step] for k in range(0, len(bounds), step)]
+    heads = F.from_json(F.lit(json.dumps([p[0] for p in parts])), "array<bigint>")
+    tails = F.from_json(F.lit(json.dumps(parts)), "array<array<bigint>>")
+    at = F.size(F.filter(heads, lambda b: b <= F.col("id")))
+    inside = F.size(F.filter(F.get(tails, at - 1), lambda b: b <= F.col("id")))
+    return F.when(at > 0, (at - 1) * step + inside).otherwise(0).cast("int")
+
+
+def _with_next(rows: DataFrame, finish) -> DataFrame:
+    """finish(rows) with next_text and next_fingerprint, in order of (id, tie), the first after the last. rows: id, tie, text."""
     ids = rows.select("id")
     n = ids.count()
-    if not n:
-        return rows.withColumns({"next_text": F.col("text"), "next_fingerprint": F.col("fingerprint")})
     buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, n // BUCKET_ROWS))
     # at most MAX_BUCKETS numbers come to the driver
-    bounds = sorted(set(ids.agg(F.percentile_approx("id", [k / buckets for k in range(1, buckets)], 100 * buckets).alias("b")).first()["b"]))
-    rows = rows.withColumn("bucket", F.expr(f"size(filter(cast(split('{','.join(map(str, bounds))}', ',') as array<bigint>), b -> b <= id))"))
+    found = ids.agg(F.percentile_approx("id", [k / buckets for k in range(1, buckets)], 20 * buckets).alias("b")).first()["b"] if n else None
+    bounds = sorted(set(found or [0]))
+    rows = rows.withColumn("bucket", _bucket(bounds))
     firsts = {r["bucket"]: (r["f"]["id"], r["f"]["tie"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("id", "tie")).alias("f")).collect()}
     order = sorted(firsts)
     before = {b: order[k - 1] for k, b in enumerate(order)}
     # at most MAX_BUCKETS rows
     known = rows.sparkSession.createDataFrame([(i, t, before[b]) for b, (i, t) in firsts.items()], "id long, tie long, home int")
     fences = rows.join(F.broadcast(known), ["id", "tie"]).dropDuplicates(["id", "tie"]).withColumn("bucket", F.col("home")).drop("home").withColumn("fence", F.lit(1))
-    both = rows.withColumn("fence", F.lit(0)).unionByName(fences)
+    both = finish(rows.withColumn("fence", F.lit(0)).unionByName(fences))
     w = Window.partitionBy("bucket").orderBy("fence", "id", "tie")
     both = both.withColumns({"next_text": F.lead("text").over(w), "next_fingerprint": F.lead("fingerprint").over(w)})
     return both.filter("fence = 0")
 
 
+def groups(docs: DataFrame) -> DataFrame:
+    """fingerprint, bytes (SHA-256 of the canonical text), class_id, copies of the canonical texts that several rows have."""
+    rows = _rows(docs)
+    prints = _printed(rows).select("fingerprint")
+    several = cut(prints.groupBy("fingerprint").agg(F.count("*").alias("c")).filter("c > 1").select("fingerprint"), "buckets")
+    words = min(BIT_WORDS[1], max(BIT_WORDS[0], 1 << (several.count() // 4).bit_length()))
+    at = F.pmod(F.xxhash64("fingerprint"), F.lit(64 * words))
+    # at most BIT_WORDS[1] rows
+    bits = several.select(at.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("bits"))
+    kept = _printed(rows).select("doc_id", "fingerprint", "canon").withColumn("h", at).withColumn("word", F.shiftright("h", 6))
+    kept = kept.join(F.broadcast(bits), "word").filter(F.expr("shiftright(bits, cast(h % 64 as int)) % 2 <> 0"))
+    # rows of one bucket are one class only if their bytes are equal
+    classes = kept.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")).filter("copies > 1")
+    return classes.select("fingerprint", F.sha2(F.col("canon").cast("binary"), 256).alias("bytes"), "class_id", "copies")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Rows are not grouped here: see groups()."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("fingerprint", digest(canonical(F.col("text"))))
-    rows = _with_next(rows).withColumn("n_chars", F.length("text").cast("long"))
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id, copies (rows of the class)."""
+    rows = _with_next(_rows(docs), lambda both: _printed(both).withColumn("bytes", F.sha2(F.col("canon").cast("binary"), 256)).drop("canon")).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
     rows = rows.withColumn("edited_canon", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest(F.col("edited_canon")))
     # equal buckets only: then bytes are compared
     same_edited = F.when(F.col("fingerprint") == F.col("edited_fingerprint"), canonical(F.col("text")) == F.col("edited_canon")).otherwise(F.lit(False))
     same_next = F.when(F.col("fingerprint") == F.col("next_fingerprint"), canonical(F.col("text")) == canonical(F.col("next_text"))).otherwise(F.lit(False))
-    return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", same_edited.cast("double").alias("near_edited"), same_next.cast("double").alias("near_next"))
-
-
-def groups(docs: DataFrame) -> DataFrame:
-    """fingerprint, class_id (smallest doc_id), copies, by exact canonical text: within a bucket, SHA-256 of the canonical bytes parts what a hash collision joined."""
-    canon = canonical(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select("doc_id", canon.alias("canon")).select("doc_id", digest(F.col("canon")).alias("fingerprint"), F.sha2(F.col("canon").cast("binary"), 256).alias("bytes"))
-    return rows.groupBy("fingerprint", "bytes").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")).drop("bytes")
+    out = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", same_edited.cast("double").alias("near_edited"), same_next.cast("double").alias("near_next"),
+                      "bytes", F.pmod(F.xxhash64("id", "tie"), F.lit(SALTS)).cast("int").alias("salt"))
+    classes = cut(groups(docs), "classes").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = out.join(classes.hint("merge"), ["fingerprint", "bytes", "salt"], "left")
+    return named.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("copies"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
