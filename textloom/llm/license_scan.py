@@ -20,7 +20,8 @@ same where no text holds a whole notice or a rival's name.
 
 Defined results: a null or empty text, or one without a matching sentence, has a
 null license, score 0 and no matches; equal scores go to the alphabetically first
-license; repeated rows are judged row by row; other columns are ignored.
+license; repeated rows are judged row by row; an empty table gives no row; texts and sentences
+of any length are read whole; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def _template_rows(templates: dict[str, list[str]], least: float) -> tuple[list[
 
 
 def _bigrams() -> Column:
-    return F.expr("CASE WHEN size(w) = 1 THEN array(concat(w[0], ' ')) ELSE zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (x, y) -> concat(x, ' ', y)) END")
+    return F.expr("CASE WHEN size(w) = 1 THEN array(concat(w[0], ' ')) ELSE zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, greatest(size(w) - 1, 0)), (x, y) -> concat(x, ' ', y)) END")
 
 
 def _words(text: str) -> Column:
@@ -170,9 +171,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
     short = anchors({n: [*(templates or TEMPLATES).get(n, []), *rivals.get(n, [])] for n in [*(templates or TEMPLATES), *rivals]}, least)
     sentences = lower.filter(_holds("low", short)).select("uid", F.posexplode(F.split("low", _SENTENCE)).alias("place", "s")).filter(_holds("s", short))
     words = sentences.select("uid", "place", _words("s").alias("w")).filter(F.size("w") > 0)
-    # a sentence has at most words - 1 bigrams, and few repeat in a notice
-    words = words.filter((F.size("w") <= 2 * high + 1) & (F.size("w") >= low))
-    words = words.select("uid", "place", F.array_join("w", " ").alias("said"), F.array_distinct(_bigrams()).alias("b"))
+    # sets of a size that no template allows are passed over, however many words a sentence has
+    words = words.select("uid", "place", F.array_join("w", " ").alias("said"), F.array_distinct(_bigrams()).alias("b")).filter((F.size("b") >= low) & (F.size("b") <= high))
     bigrams = words.select("uid", "place", "said", F.size("b").alias("size"), F.explode("b").alias("bigram"))
     ratio = least / (2 - least)
     near = bigrams.join(F.broadcast(known), "bigram").filter((F.col("size") >= ratio * F.col("t_size")) & (F.col("t_size") >= ratio * F.col("size")))
@@ -207,8 +207,9 @@ WITH known(t, license, bigram, t_size) AS (VALUES {values}),
 base AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents),
 s AS (SELECT uid, unnest(regexp_split_to_array(lower(text), '[\\n]+|[.!?]+([ \\t\\r\\f]+|$)|[.!?]+\\n')) AS s, generate_subscripts(regexp_split_to_array(lower(text), '[\\n]+|[.!?]+([ \\t\\r\\f]+|$)|[.!?]+\\n'), 1) AS place FROM base),
 w AS (SELECT uid, place, list_filter(list_transform(string_split(trim(regexp_replace(s, '[^\\p{{L}}\\p{{N}}.+]+', ' ', 'g')), ' '), lambda x: trim(x, '.+')), lambda x: x <> '') AS w FROM s),
-f AS (SELECT * FROM w WHERE len(w) > 0 AND len(w) <= {2 * high + 1} AND len(w) >= {low}),
-p AS (SELECT uid, place, CASE WHEN len(w) = 1 THEN [w[1] || ' '] ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS b FROM f),
+f AS (SELECT * FROM w WHERE len(w) > 0),
+d AS (SELECT uid, place, CASE WHEN len(w) = 1 THEN [w[1] || ' '] ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS b FROM f),
+p AS (SELECT * FROM d WHERE len(b) BETWEEN {low} AND {high}),
 g AS (SELECT uid, place, len(b) AS size, unnest(b) AS bigram FROM p),
 c AS (SELECT uid, place, size, t, license, t_size, count(*) AS common FROM g JOIN known USING (bigram)
       WHERE size >= {ratio!r}::DOUBLE * t_size AND t_size >= {ratio!r}::DOUBLE * size GROUP BY ALL),
