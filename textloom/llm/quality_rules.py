@@ -5,20 +5,27 @@ language references by Jensen-Shannon distance (base 2, the square root of the
 divergence, 0 to 1); the nearest reference counts. Base rules on length and
 repetition come first.
 
+A language has a reference if it has one document in `LEAST_SHARE` or more, and at least `LEAST_DOCS`, so there are at
+most `LEAST_SHARE` of them, whatever the column holds, and a few documents do not
+make a reference for themselves. A document of a language without one is not
+judged by histograms, only by the base rules.
+
 Defined results: a null or empty text has no words, fails the base rule and is
 not kept; a null `lang` is a language of its own; repeated rows and repeated
-doc_ids are judged row by row; an empty table gives an empty result; columns
+doc_ids are judged row by row; texts of any length are read whole; an empty table gives an empty result; columns
 other than doc_id, text and lang are ignored, whatever their names.
 
 Scale: one pass over the texts writes the base measures, one counts words by
 language (a partial aggregate) for the references, one counts common words per
-row (explode, broadcast hash join with at most `MAX_LANGUAGES * COMMON_WORDS`
+row (explode, broadcast hash join with at most `LEAST_SHARE * COMMON_WORDS`
 words, partial aggregate). Rows meet again on doc_id and a hash of the text; rows
 that repeat in both share their counts, so no scan has to number rows.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,8 +38,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 COMMON_WORDS = 32
-#: References are kept for the languages with most documents; a document of any other is judged by the nearest.
-MAX_LANGUAGES = 64
+#: A language of one document in so many, and of so many documents, has a reference.
+LEAST_SHARE, LEAST_DOCS = 1000, 10
 #: Guards: shorter documents are not judged by that histogram.
 GUARD_CHARS, GUARD_WORDS = 200, 20
 MAX_CHARS_DISTANCE, MAX_WORDS_DISTANCE = 0.25, 0.5
@@ -99,15 +106,19 @@ def _tokens(docs: DataFrame) -> DataFrame:
 
 
 def references(rows: DataFrame, tokens: DataFrame) -> list[dict]:
-    """Per language, over all documents: class shares, the commonest words and their shares. Small: at most MAX_LANGUAGES rows.
+    """Per language, over all documents: class shares, the commonest words and their shares. Small: at most LEAST_SHARE rows.
 
     rows: base_counts(); tokens: _tokens().
     """
     sums = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n"), *(F.sum(c).alias(c) for c in CLASSES))
-    kept = {r["lang"]: r for r in sums.orderBy(F.desc("docs"), F.asc_nulls_first("lang")).limit(MAX_LANGUAGES).collect()}
-    counts = tokens.groupBy("lang", "w").agg(F.count("*").alias("c"))
+    kept = {r["lang"]: r for r in sums.filter((F.col("docs") * LEAST_SHARE >= F.lit(rows.count())) & (F.col("docs") >= LEAST_DOCS)).collect()}
+    if not kept:
+        return []
+    # at most LEAST_SHARE rows; a null is a language, too
+    known = rows.sparkSession.createDataFrame([(x,) for x in kept], "known string")
+    counts = tokens.join(F.broadcast(known), F.col("lang").eqNullSafe(F.col("known")), "left_semi").groupBy("lang", "w").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "w"))
-    best = counts.withColumn("r", rank).filter(F.col("r") <= COMMON_WORDS).filter(F.col("lang").isNull() | F.col("lang").isin([x for x in kept if x is not None]))
+    best = counts.withColumn("r", rank).filter(F.col("r") <= COMMON_WORDS)
     words: dict = {}
     for r in best.orderBy("lang", "r").collect():
         words.setdefault(r["lang"], []).append((r["w"], r["c"]))
@@ -130,6 +141,31 @@ def _distance(terms: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), (terms + 1.0) / 2))
 
 
+def _nearest_classes(refs: list[dict]) -> Column:
+    """Least distance of the class counts to a reference's."""
+    if not refs:
+        return F.lit(1.0)
+    points = F.greatest(F.col("n_points"), F.lit(1)).cast("double")
+    shares = F.array(*(F.col(c) / points for c in CLASSES))
+    known = F.from_json(F.lit(json.dumps([r["chars"] for r in refs])), "array<array<double>>")
+    near = F.transform(known, lambda r: _distance(F.aggregate(F.zip_with(shares, r, _term), F.lit(0.0), lambda a, x: a + x)))
+    return F.least(F.array_min(near), F.lit(1.0))
+
+
+def _nearest_words(refs: list[dict]) -> Column:
+    """Least distance of the common words to a reference's; found: (ref, terms, common) of the references that the row has words of."""
+    if not refs:
+        return F.lit(1.0)
+    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    other = F.from_json(F.lit(json.dumps([r["other"] for r in refs])), "array<double>")
+    hit = F.coalesce(F.col("found"), F.from_json(F.lit("[]"), "array<struct<ref:int,terms:double,common:bigint>>"))
+    near = F.transform(hit, lambda x: _distance(x["terms"] + _term((F.col("n_words") - x["common"]) / n, F.get(other, x["ref"]))))
+    # a reference without a word of the row
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(len(refs) - 1)), F.transform(hit, lambda x: x["ref"]))
+    none = F.transform(missing, lambda k: _distance(_term(F.lit(1.0), F.get(other, k))))
+    return F.least(F.array_min(F.concat(near, none)), F.lit(1.0))
+
+
 def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, chars_distance, words_distance."""
     # a row is known by doc_id and a hash of its text: scans need not agree on an order
@@ -137,9 +173,7 @@ def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     spark = docs.sparkSession
     rows = cut(base_counts(docs), "base")
     refs = references(rows, _tokens(docs))
-    points = F.greatest(F.col("n_points"), F.lit(1)).cast("double")
-    near = [_distance(sum((_term(F.col(c) / points, q) for c, q in zip(CLASSES, r["chars"])), F.lit(0.0))) for r in refs]
-    rows = rows.withColumn("chars_distance", F.when(F.col("n_points") > 0, F.least(*near, F.lit(1.0)) if near else F.lit(1.0)).otherwise(1.0))
+    rows = rows.withColumn("chars_distance", F.when(F.col("n_points") > 0, _nearest_classes(refs)).otherwise(1.0))
     vocabulary = spark.createDataFrame([(k, w, q) for k, r in enumerate(refs) for w, q in r["words"]] or [(-1, "", 0.0)], "ref int, w string, q double")
     counts = _tokens(docs).join(F.broadcast(vocabulary.select("w").distinct()), "w").groupBy("id", "tie", "w").agg(F.count("*").alias("c"))
     # repeated rows count their words together
@@ -148,18 +182,14 @@ def judge(docs: DataFrame, keys: bool = False) -> DataFrame:
     per_row = counts.join(F.broadcast(vocabulary), "w").groupBy("id", "tie", "ref").agg(F.sum(_term(F.col("c") / F.col("words"), F.col("q"))).alias("terms"), F.sum(F.col("c") / F.col("times")).cast("long").alias("common"))
     per_row = per_row.groupBy("id", "tie").agg(F.collect_list(F.struct("ref", "terms", "common")).alias("found"))
     rows = rows.join(per_row, ["id", "tie"], "left")
-    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    word_distances = []
-    for k, r in enumerate(refs):
-        hit = F.expr(f"get(filter(found, x -> x.ref = {k}), 0)")
-        terms, common = F.coalesce(hit["terms"], F.lit(0.0)), F.coalesce(hit["common"], F.lit(0))
-        word_distances.append(_distance(terms + _term((F.col("n_words") - common) / n, r["other"])))
-    nearest = F.least(*word_distances, F.lit(1.0)) if word_distances else F.lit(1.0)
-    rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, nearest).otherwise(1.0))
+    rows = rows.withColumn("words_distance", F.when(F.col("n_words") > 0, _nearest_words(refs)).otherwise(1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     # no common word of any reference: the distance is then no measure, as the other words fill one bin
     none = F.col("found").isNull() if refs else F.lit(False)
-    far = ((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & ((F.col("words_distance") > MAX_WORDS_DISTANCE) | none))
+    own = [r["lang"] for r in refs]
+    judged = F.col("lang").isin([x for x in own if x is not None]) if any(x is not None for x in own) else F.lit(False)
+    judged = F.coalesce(judged, F.lit(None in own))
+    far = judged & (((F.col("n_points") >= GUARD_CHARS) & (F.col("chars_distance") > MAX_CHARS_DISTANCE)) | ((F.col("n_words") >= GUARD_WORDS) & ((F.col("words_distance") > MAX_WORDS_DISTANCE) | none)))
     return rows.select(*(["id", "tie"] if keys else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), F.round("chars_distance", 6).alias("chars_distance"), F.round("words_distance", 6).alias("words_distance"))
 
 
@@ -199,16 +229,16 @@ s AS (SELECT lang, count(*) AS docs, sum(n_words) AS n, {', '.join(f'sum(c_{c})
 t AS (SELECT uid, lang, lower(unnest(words)) AS w FROM r),
 tc AS (SELECT lang, w, count(*) AS c FROM t GROUP BY lang, w),
 tops AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY c DESC, w) AS k FROM tc) WHERE k <= {COMMON_WORDS}),
-refs AS (SELECT s.*, (s.n - x.c_all) / s.n::DOUBLE AS other FROM s JOIN (SELECT lang, sum(c) AS c_all FROM tops GROUP BY lang) x ON s.lang IS NOT DISTINCT FROM x.lang WHERE points_all > 0 ORDER BY docs DESC, s.lang NULLS FIRST LIMIT {MAX_LANGUAGES}),
+refs AS (SELECT s.*, (s.n - x.c_all) / s.n::DOUBLE AS other FROM s JOIN (SELECT lang, sum(c) AS c_all FROM tops GROUP BY lang) x ON s.lang IS NOT DISTINCT FROM x.lang WHERE points_all > 0 AND docs * {LEAST_SHARE} >= (SELECT count(*) FROM d) AND docs >= {LEAST_DOCS}),
 cd AS (SELECT r.uid, CASE WHEN any_value(r.points) > 0 THEN least(min({distance(chars)}), 1.0) ELSE 1.0 END AS chars_distance FROM r LEFT JOIN refs s ON true GROUP BY r.uid),
 wc AS (SELECT uid, w, count(*) AS c FROM t GROUP BY uid, w),
 wt AS (SELECT wc.uid, tops.lang AS ref, sum({term('(wc.c / r.n_words::DOUBLE)', '(tops.c / refs.n::DOUBLE)')}) AS terms, sum(wc.c) AS common
  FROM wc JOIN r USING (uid) JOIN tops USING (w) JOIN refs ON refs.lang IS NOT DISTINCT FROM tops.lang GROUP BY wc.uid, tops.lang),
 wd AS (SELECT r.uid, CASE WHEN any_value(r.n_words) > 0 THEN least(min({distance('(coalesce(terms, 0) + ' + term('((r.n_words - coalesce(common, 0)) / greatest(r.n_words, 1)::DOUBLE)', 'refs.other') + ')')}), 1.0) ELSE 1.0 END AS words_distance
  FROM r LEFT JOIN refs ON true LEFT JOIN wt ON wt.uid = r.uid AND wt.ref IS NOT DISTINCT FROM refs.lang GROUP BY r.uid),
-b AS (SELECT r.*, chars_distance, words_distance, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM r JOIN cd USING (uid) JOIN wd USING (uid))
+b AS (SELECT r.*, chars_distance, words_distance, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed, EXISTS (SELECT 1 FROM refs WHERE refs.lang IS NOT DISTINCT FROM r.lang) AS judged FROM r JOIN cd USING (uid) JOIN wd USING (uid))
 SELECT doc_id, n_words, points - n_sep AS word_chars, c_symbol AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
- NOT base_failed AND NOT (points >= {GUARD_CHARS} AND chars_distance > {MAX_CHARS_DISTANCE}) AND NOT (n_words >= {GUARD_WORDS} AND words_distance > {MAX_WORDS_DISTANCE}) AS kept, round(chars_distance, 6) AS chars_distance, round(words_distance, 6) AS words_distance FROM b
+ NOT base_failed AND NOT (judged AND points >= {GUARD_CHARS} AND chars_distance > {MAX_CHARS_DISTANCE}) AND NOT (judged AND n_words >= {GUARD_WORDS} AND words_distance > {MAX_WORDS_DISTANCE}) AS kept, round(chars_distance, 6) AS chars_distance, round(words_distance, 6) AS words_distance FROM b
 """
 
 
