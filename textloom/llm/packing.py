@@ -8,12 +8,15 @@ into the next window. Shards of about `shard_tokens` ids run independently:
 what the shards before owe each queue, share * ids - ids served, is a prefix
 sum of counts, so deficits are carried across shards without running them in
 order. The end of a shard is cut into sequences of powers of two: no padding.
+Every source that `targets` names has a queue, and the largest others do; the
+rest wait in one more, in which their documents stand in turn: each at the middle
+of its place among its source's ids, so that every stretch holds each source's share.
 
 Defined results: a null or empty text is the single id 0; a null source is a
 queue of its own; repeated rows are documents of their own; an empty table
 gives no piece; a document longer than a window is cut; the ids of one
-document are the most that a task must hold beyond its shard. Sources beyond
-the `max_queues - 1` largest share one queue. Other columns are ignored.
+document are the most that a task must hold beyond its shard; a target that no
+document has is served by the others. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from .common import cut, released, table
 LENGTH = 1024
 SHARD_TOKENS = 1 << 22
 LEAST = 128
+#: Queues besides those that targets name.
 MAX_QUEUES = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -104,23 +108,38 @@ def pack_shard(queues: list[tuple[np.ndarray, np.ndarray, np.ndarray]], deficits
     return rows
 
 
+def in_turn(q: np.ndarray, source: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """An order of rows sorted by (q, source): within a queue by the middle of each among its source's ids, as a share of them."""
+    if not len(q):
+        return np.zeros(0, np.int64)
+    new = np.append(True, (q[1:] != q[:-1]) | (source[1:] != source[:-1]))
+    run = np.cumsum(new) - 1
+    ends = np.cumsum(n)
+    before = (ends - n)[new][run]
+    total = np.bincount(run, weights=n)[run]
+    return np.lexsort((source, (ends - n / 2 - before) / total, q))
+
+
 def pack(docs: DataFrame, path: str | None = None, by: str = "source", targets: dict[str, float] | None = None, length: int = LENGTH, shard_tokens: int = SHARD_TOKENS, least: int = LEAST, max_queues: int = MAX_QUEUES) -> DataFrame:
     """One row per piece (PIECES). targets: shares by queue; by default those of all ids."""
     spark = docs.sparkSession
     ids = cut(tokenise(docs, path or bpe.vocabulary_path(), by), "ids")
     totals = ids.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("queue"))
-    # at most max_queues rows: each of the largest, and the sum of all others
+    # at most max_queues rows and those that targets name: each of the largest, and the sum of all others
     ranked = totals.limit(max_queues - 1).collect()
+    if targets:
+        ranked += [r for r in totals.filter(F.col("queue").isin(list(targets))).collect() if r not in ranked]
     everything = ids.agg(F.sum("n")).first()[0] or 0
     names = [r["queue"] for r in ranked]
     sums = [r["n"] for r in ranked]
-    names, sums = [*names, "the others"], [*sums, everything - sum(sums)]
-    wanted = np.array([float((targets or {}).get(name, 0)) for name in names]) if targets else np.array(sums, dtype=float)
+    # the last queue, of all other sources, has no name that a source could have
+    wanted = np.array([*(float((targets or {}).get(name, 0)) for name in names), 0.0]) if targets else np.array([*sums, everything - sum(sums)], dtype=float)
+    names.append(None)
     shares = wanted / wanted.sum() if wanted.sum() > 0 else np.full(len(names), 1 / len(names))
     known = spark.createDataFrame([(name, k) for k, name in enumerate(names[:-1])] or [("", -1)], "name string, q int")
     shards = max(1, -(-everything // shard_tokens))
     rows = ids.join(F.broadcast(known), F.col("queue").eqNullSafe(F.col("name")), "left").select(
-        "uid", "doc_id", F.coalesce("q", F.lit(len(names) - 1)).alias("q"), "n", "ids", F.pmod(F.xxhash64("uid"), F.lit(shards)).alias("shard"))
+        "uid", "doc_id", F.coalesce("q", F.lit(len(names) - 1)).alias("q"), F.when(F.col("q").isNull(), F.xxhash64("queue")).otherwise(0).alias("source"), "n", "ids", F.pmod(F.xxhash64("uid"), F.lit(shards)).alias("shard"))
     counts = rows.groupBy("shard", "q").agg(F.sum("n").alias("n"))
     grid = counts.groupBy("shard").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("q", "n"))).alias("by_queue"))
     grid = grid.select("shard", "total", "by_queue", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("q")).select("shard", "total", "q", F.coalesce(F.expr("by_queue[q]"), F.lit(0)).alias("n"))
@@ -133,7 +152,8 @@ def pack(docs: DataFrame, path: str | None = None, by: str = "source", targets:
         deficits = np.zeros(len(shares))
         q = owed.column("q").to_numpy()
         deficits[q] = shares[q] * owed.column("total").to_numpy() - owed.column("served").to_numpy()
-        shard = shard.sort_by([("q", "ascending"), ("uid", "ascending")])
+        shard = shard.sort_by([("q", "ascending"), ("source", "ascending"), ("uid", "ascending")])
+        shard = shard.take(in_turn(*(shard.column(c).to_numpy() for c in ("q", "source", "n"))))
         which, n = shard.column("q").to_numpy(), shard.column("n").to_numpy()
         doc_ids = shard.column("doc_id").to_pylist()
         data = b"".join(shard.column("ids").to_pylist())
