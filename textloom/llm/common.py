@@ -23,7 +23,7 @@ BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From now on Arrow batches of this session hold at most BATCH_ROWS rows."""
+    """From now on Arrow batches of this session hold at most BATCH_ROWS rows: a setting is read when a plan runs, so it cannot be put back before."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -33,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or for tests one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, one of our own in local mode (tests) and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
         found = "file://" + (own := tempfile.mkdtemp(prefix="textloom-"))
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)
