@@ -4,17 +4,19 @@ A document is its set of 5-word shingles (64-bit hashes). All shingles have one
 global order: the `HEAVY` commonest come last, commonest at the very end, all
 others by hash. Two sets of Jaccard similarity t share one of their first
 n - ceil(t n) + 1 shingles, so those prefixes, shuffled by shingle, bring
-candidates together. Pairs whose parity bit tables (a bit or two for each
+candidates together. Pairs whose parity bit tables (four to eight bits for each
 shingle) differ in more bits than similar sets differ in shingles go. What is left is
 counted by vertical partitioning: the
 order is cut into FRAGMENTS ranges, each document's set into segments, the
 overlap of a pair is counted in each fragment on its own, and partial counts are
-summed per pair.
+summed per pair, a few fragments (STEPS) at a time: pairs that the shingles not
+yet looked at cannot make similar go before the next.
 
 Copies and hot groups: equal sets are one node, kept by its smallest doc_id.
 Within a shingle's rows (by set size) each node is paired with a centre, the
 smallest set whose size still allows the similarity, and (for a quarter of the
-shingles) with the node before it, which is linear in the rows; verified pairs give components. While a shingle's
+shingles) with the node before it, which is linear in the rows. First each node meets the one centre that most
+of its shingles name, then, across the components so far, the others. While a shingle's
 components still make many pairs, each node meets a few neighbours of another
 component in further orders. The last round pairs all nodes of one shingle that lie
 in different components and that size, position and parity filters allow. Links
@@ -25,9 +27,11 @@ Defined results: null and empty texts and texts without a word have no shingles
 and are their own component; texts of fewer than five words are one shingle of
 all words; equal texts are linked; null or repeated doc_ids are told apart by a
 row number, and a component's id is its smallest non-null doc_id (null if it has
-none); an empty table gives no row; other columns are ignored. Shingles equal by a
+none); an empty table gives no row; other columns are ignored, whatever their
+names; texts and words of any length are read whole. Shingles equal by a
 64-bit hash count as equal. The driver collects the commonest shingles and a bit
-table for candidates, both of fixed size; nothing else.
+table for candidates, both of bounded size; nothing else. Tables that grow with the
+corpus are joined by sorting, never broadcast, at every size.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import vec
-from .common import cut, table
+from .common import cut, released, table
 from .components import components
 
 WORDS = 5
@@ -52,7 +56,12 @@ FRAGMENTS = 8
 HEAVY = 1 << 18
 #: A shingle that no partition has so often cannot be heavy; this only orders shingles, it drops none.
 HEAVY_LEAST = 3
-FILTER_BITS = 1 << 23
+#: The fragments of the order (FRAGMENTS is the heavy range) that are counted before pairs are looked at again.
+STEPS = (tuple(range(FRAGMENTS // 2)), tuple(range(FRAGMENTS // 2, FRAGMENTS + 1)))
+#: Bits of the table of candidates: at least (as a power of two), for each candidate, at most (as a power of two; beyond it, a join by id).
+FILTER_BITS = (20, 32, 27)
+#: Bits of a parity table for each shingle: with four, few pairs below 0.73 of 0.75 pass.
+PARITY = 4
 #: Rounds of neighbours before all pairs across components are looked at, while those are more than so many a row and
 #: the round before found links in this share of its pairs.
 ROUNDS, PAIRS_PER_ROW, NEIGHBOURS, WORTH = 4, 8, 2, 0.02
@@ -63,7 +72,7 @@ def shingle_sets(part: pa.RecordBatch, words: int = WORDS, column: str = "text")
     data, offsets = vec.buffers(part.column(column))
     data = vec.ascii_lower(data)
     start, end, doc = vec.word_spans(data, offsets)
-    hashes = vec.span_hashes(vec.byte_values(data), start, end)
+    hashes = vec.span_hashes(data, start, end)
     at = np.searchsorted(doc, np.arange(len(offsets)))
     n = len(hashes)
     windows = np.full(max(0, n - words + 1), np.uint64(words), dtype=np.uint64)
@@ -100,12 +109,12 @@ def fragment_of(found: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 
 def parity_bits(found: np.ndarray) -> np.ndarray:
-    """Bit i tells whether an odd number of shingles fall on i; 2**k bits, as many as shingles or more, as 64-bit words.
+    """Bit i tells whether an odd number of shingles fall on i; 2**k bits, PARITY times as many as shingles or more, as 64-bit words.
 
     Two such tables differ in no more bits than their sets differ in shingles. The
     exclusive or of its halves is a table's half-size form.
     """
-    k = max(6, int(max(1, len(found)) - 1).bit_length())
+    k = max(6, int(PARITY * max(1, len(found)) - 1).bit_length())
     odd = np.bincount((found & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -149,7 +158,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.binary()), pa.nulls(len(t), pa.list_(pa.int64())), pa.array(t), pa.array(c[a : a + 50_000], pa.int64())], names)
 
     names = ["id", "n", "sig", "bits", "token", "c"]
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, sig binary, bits array<long>, token long, c long")
+    return docs.select("id", "text").mapInArrow(released(run), "id long, n long, sig binary, bits array<long>, token long, c long")
 
 
 def _prefixes(docs: DataFrame, heavy, words: int, top: int, bottom: int) -> DataFrame:
@@ -165,7 +174,7 @@ def _prefixes(docs: DataFrame, heavy, words: int, top: int, bottom: int) -> Data
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first) if first else np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), lists], ["id", "n", "prefix"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, prefix array<long>")
+    return docs.select("id", "text").mapInArrow(released(run), "id long, n long, prefix array<long>")
 
 
 def _groups(rows: DataFrame, top: int, bottom: int) -> DataFrame:
@@ -210,7 +219,7 @@ def _groups(rows: DataFrame, top: int, bottom: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     names = ["token", "node", "n", "place", "centre", "cn", "prev", "pn"]
-    return rows.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return rows.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(released(run), ", ".join(f"{c} long" for c in names))
 
 
 def _bits(ids: DataFrame, size: int):
@@ -222,8 +231,15 @@ def _bits(ids: DataFrame, size: int):
     return out
 
 
-def _segments(docs: DataFrame, bits, heavy, words: int, size: int) -> DataFrame:
-    """node, fragment, tokens of the documents whose id may be in the bit table."""
+def _segments(docs: DataFrame, ids: DataFrame, heavy, words: int) -> DataFrame:
+    """node, fragment, tokens of the documents `ids` (node, distinct), by a bit table perhaps of a few more."""
+    size = 1 << max(FILTER_BITS[0], (FILTER_BITS[1] * ids.count()).bit_length())
+    if size > 1 << FILTER_BITS[2]:
+        docs = docs.join(ids.select(F.col("node").alias("id")).hint("merge"), "id", "left_semi")
+        size, filled = 64, np.array([-1], dtype=np.int64)
+    else:
+        filled = _bits(ids, size)
+    bits = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_, (common, _) = bits.value, heavy.value
@@ -242,13 +258,13 @@ def _segments(docs: DataFrame, bits, heavy, words: int, size: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(fragment, pa.int32()), lists], ["node", "fragment", "tokens"])
 
-    return docs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(size)).alias("h")).mapInArrow(run, "node long, fragment int, tokens array<long>")
+    return docs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(size)).alias("h")).mapInArrow(released(run), "node long, fragment int, tokens array<long>")
 
 
 def _alike(pairs: DataFrame, bits: DataFrame, top: int, bottom: int) -> DataFrame:
     """The pairs (a, b, an, bn) whose parity tables do not rule them out. bits: node, bits."""
     half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int")), lambda p, q: p.bitwiseXOR(q))
-    rows = pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
+    rows = pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")).hint("merge"), "a").join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")).hint("merge"), "b")
     # similar sets' tables are of one size, or one of twice the other's
     rows = rows.withColumns({"x": F.when(F.size("x") > F.size("y"), half(F.col("x"))).otherwise(F.col("x")), "y": F.when(F.size("y") > F.size("x"), half(F.col("y"))).otherwise(F.col("y"))})
     differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("long")), F.lit(0).cast("long"), lambda s, d: s + d)
@@ -256,14 +272,23 @@ def _alike(pairs: DataFrame, bits: DataFrame, top: int, bottom: int) -> DataFram
 
 
 def _links(pairs: DataFrame, segments: DataFrame, top: int, bottom: int) -> DataFrame:
-    """u, v of the pairs (a, b, an, bn) that are similar: overlaps by fragment, summed per pair."""
-    # both sides of a pair meet the segments by (node, fragment), so these are dealt out once
-    each = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS))).alias("f"))
-    left = each.join(segments.alias("l"), (F.col("a") == F.col("l.node")) & (F.col("f") == F.col("l.fragment"))).select("a", "b", "an", "bn", "f", F.col("l.tokens").alias("x"))
-    both = left.join(segments.alias("r"), (F.col("b") == F.col("r.node")) & (F.col("f") == F.col("r.fragment")))
-    partial = both.select("a", "b", "an", "bn", F.size(F.array_intersect("x", F.col("r.tokens"))).cast("long").alias("common"))
-    total = partial.groupBy("a", "b", "an", "bn").agg(F.sum("common").alias("common"))
-    return total.filter(bottom * F.col("common") >= top * (F.col("an") + F.col("bn") - F.col("common"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    """u, v of the pairs (a, b, an, bn) that are similar: overlaps by fragment, summed per pair, step by step."""
+    keys = ["a", "b", "an", "bn"]
+    # common: shared so far; ra, rb: shingles not looked at, or more
+    left = pairs.select(*keys, F.lit(0).cast("long").alias("common"), F.col("an").alias("ra"), F.col("bn").alias("rb"))
+    for number, step in enumerate(STEPS):
+        # both sides of a pair meet the segments by (node, fragment), so these are dealt out once
+        each = left.select(*keys, F.explode(F.array(*map(F.lit, step))).alias("f"))
+        part = segments.filter(F.col("fragment").isin(*step))
+        one = each.join(part.alias("l").hint("merge"), (F.col("a") == F.col("l.node")) & (F.col("f") == F.col("l.fragment"))).select(*keys, "f", F.col("l.tokens").alias("x"))
+        both = one.join(part.alias("r").hint("merge"), (F.col("b") == F.col("r.node")) & (F.col("f") == F.col("r.fragment")))
+        partial = both.select(*keys, F.size(F.array_intersect("x", F.col("r.tokens"))).cast("long").alias("common"), (-F.size("x")).cast("long").alias("ra"), (-F.size("r.tokens")).cast("long").alias("rb"))
+        left = left.union(partial).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("common", "ra", "rb")))
+        rest = F.lit(0) if number == len(STEPS) - 1 else F.least("ra", "rb")
+        left = left.filter((bottom + top) * (F.col("common") + rest) >= top * (F.col("an") + F.col("bn")))
+        if number < len(STEPS) - 1:
+            left = cut(left, "counted")
+    return left.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
@@ -288,7 +313,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
     base = stats.filter("token is null").select("id", "n", "sig", "bits")
     classes = cut(base.groupBy("sig", "n").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "classes")
     firsts = classes.filter("n > 0").select(F.col("node").alias("id"))
-    prefixes = _prefixes(docs, heavy, words, top, bottom).join(firsts, "id", "left_semi")
+    prefixes = _prefixes(docs, heavy, words, top, bottom).join(firsts.hint("merge"), "id", "left_semi")
     rows = prefixes.select(F.col("id").alias("node"), "n", F.posexplode("prefix").alias("place", "token")).select("token", "node", "n", F.col("place").cast("long"))
     groups = cut(_groups(rows, top, bottom), "groups")
 
@@ -302,24 +327,39 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         one = F.col(a) < F.col("node")
         return near.select(F.least(a, "node").alias("a"), F.greatest(a, "node").alias("b"), F.when(one, F.col(an)).otherwise(F.col("n")).alias("an"), F.when(one, F.col("n")).otherwise(F.col(an)).alias("bn"))
 
-    tested = cut(couples(groups, "centre", "cn").union(couples(groups.filter("token % 4 = 0"), "prev", "pn")).distinct(), "stars")
-
-    bits_of = base.join(firsts, "id", "left_semi").select(F.col("id").alias("node"), "bits")
+    bits_of = base.join(firsts.hint("merge"), "id", "left_semi").select(F.col("id").alias("node"), "bits")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = cut(_alike(pairs, bits_of, top, bottom), "pairs")
-        ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-        bits = spark.sparkContext.broadcast(_bits(ids, FILTER_BITS))
-        return _links(pairs, _segments(docs, bits, heavy, words, FILTER_BITS), top, bottom)
-
+        ids = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidates")
+        return _links(pairs, cut(_segments(docs, ids, heavy, words), "segments"), top, bottom)
+
+    def across(pairs: DataFrame, component: DataFrame) -> DataFrame:
+        """Pairs whose nodes are not in one component."""
+        for c in "ab":
+            pairs = pairs.join(component.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")).hint("merge"), c, "left")
+        apart = F.coalesce("a_in", "a") != F.coalesce("b_in", "b")
+        return pairs.filter(apart).select("a", "b", "an", "bn")
+
+    # how many shingles name each centre of a node; first the pair of each node with its likeliest
+    named = cut(groups.filter("centre <> node").groupBy("node", "n", "centre", "cn").agg(F.count("*").alias("c")), "centres")
+    likeliest = named.groupBy("node", "n").agg(F.max(F.struct("c", (-F.col("centre")).alias("least"), "centre", "cn")).alias("o")).select("node", "n", "o.centre", "o.cn")
+    tested = cut(couples(likeliest, "centre", "cn").distinct(), "stars")
     links = cut(verified(tested), "links")
     first = cut(components(links), "components")
+    others = couples(named, "centre", "cn").union(couples(groups.filter("token % 4 = 0"), "prev", "pn")).distinct()
+    others = cut(across(others.join(tested.hint("merge"), ["a", "b"], "left_anti"), first), "stars")
+    more = cut(verified(others), "links")
+    if not more.isEmpty():
+        first = cut(components(cut(more.union(first.select("node", "component")), "links")), "components")
+    tested = tested.union(others.select(*tested.columns))
+    links = links.union(more)
     worth = links.count() >= WORTH * tested.count()
     for number in range(ROUNDS + 1):
         # shingles whose nodes lie in more than one component, and the pairs across that they have
-        in_component = groups.select("token", "node").join(first, "node", "left").select("token", F.coalesce("component", "node").alias("component"))
+        in_component = groups.select("token", "node").join(first.hint("merge"), "node", "left").select("token", F.coalesce("component", "node").alias("component"))
         open_ = in_component.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
-        placed = groups.select("token", "node", "n", "place").join(open_, "token", "left_semi").join(first, "node", "left")
+        placed = groups.select("token", "node", "n", "place").join(open_.hint("merge"), "token", "left_semi").join(first.hint("merge"), "node", "left")
         placed = cut(placed.withColumn("component", F.coalesce("component", "node")), "placed")
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("k"))
         load = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("q")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
@@ -329,7 +369,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
         if last:
             x = placed.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "component")))
             y = placed.select("token", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "place", "component")))
-            rest = x.join(y, "token").filter("x_component <> y_component and x_node < y_node").filter(reach("x_n", "x_place", "y_n", "y_place"))
+            rest = x.join(y.hint("merge"), "token").filter("x_component <> y_component and x_node < y_node").filter(reach("x_n", "x_place", "y_n", "y_place"))
             rest = rest.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.col("x_n").alias("an"), F.col("y_n").alias("bn"))
         else:
             # a few neighbours of each node in an order of this round's own
@@ -337,7 +377,7 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
             others = {f"o{k}": F.lag(F.struct(F.col("node").alias("other"), F.col("n").alias("on"), F.col("component").alias("oc")), k).over(w) for k in range(1, NEIGHBOURS + 1)}
             near = placed.withColumns(others).select("node", "n", "component", F.explode(F.array_compact(F.array(*others))).alias("o"))
             rest = couples(near.select("node", "n", "component", "o.*").filter("oc <> component"), "other", "on")
-        rest = cut(rest.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+        rest = cut(rest.distinct().join(tested.hint("merge"), ["a", "b"], "left_anti"), "rest")
         more = cut(verified(rest), "links")
         worth = more.count() >= WORTH * rest.count()
         tested = tested.union(rest.select(*tested.columns))
@@ -345,22 +385,22 @@ def join(docs: DataFrame, words: int = WORDS, top: int = TOP, bottom: int = BOTT
             first = cut(components(cut(more.union(first.select("node", "component")), "links")), "components")
         if last:
             break
-    members = base.drop("bits").join(classes.select("sig", "node", "copies", F.col("n").alias("cn")), "sig").join(first, "node", "left").select("id", "n", "copies", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component"))
+    members = base.drop("bits").join(classes.select("sig", "node", "copies", F.col("n").alias("cn")).hint("merge"), "sig").join(first.hint("merge"), "node", "left").select("id", "n", "copies", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("id")).alias("component"))
     if unique:
         return members.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "copies")
-    named = members.join(docs.select("id", "doc_id"), "id")
+    named = members.join(docs.select("id", "doc_id").hint("merge"), "id")
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(names, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "copies", F.col("id").alias("row_id"), F.col("component").alias("component_row"))
+    return named.join(names.hint("merge"), "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "copies", F.col("id").alias("row_id"), F.col("component").alias("component_row"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, of one document for each component: that of the smallest doc_id."""
     if _numbered(docs)[1]:
         kept = join(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-        return docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+        return docs.join(kept.hint("merge"), F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
     known = cut(docs.select("*", F.monotonically_increasing_id().alias("row number")), "numbered")
     kept = join(known.select(F.col("row number").alias("doc_id"), "text")).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    return known.join(kept, F.col("row number") == F.col("kept_id"), "left_semi").drop("row number")
+    return known.join(kept.hint("merge"), F.col("row number") == F.col("kept_id"), "left_semi").drop("row number")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
