@@ -1,4 +1,4 @@
-"""Quality gates, export rules, library checks and integrity checks over units."""
+"""Concept gates, library checks and integrity checks over units of documents."""
 
 from __future__ import annotations
 
@@ -28,7 +28,7 @@ def units(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lines = F.transform(F.split("text", "\n", -1), X.strip)
     rows = docs.join(l, "doc_id", "left").select(F.col("doc_id").alias("unit_id"), F.col("source").alias("concept"), F.element_at(F.array(*map(F.lit, STAGES)), (F.col("doc_id") % 5 + 1).cast("int")).alias("stage"), lines.alias("lines"), "n_chars",
                                                  ((F.col("doc_id") % 100) / 100).alias("confidence"), (F.coalesce("toxic", F.lit(0)) == 1).alias("fallback"), F.coalesce("quality", F.lit(1)).alias("quality"))
-    return rows.select("*", F.get("lines", F.lit(0)).alias("definition"), F.filter(F.slice("lines", 2, 1_000_000), lambda x: x != "").alias("points"), F.filter("lines", lambda x: X.code_kind(x) != "").alias("examples"), F.greatest(F.lit(1), F.ceil(F.col("n_chars") / 1000)).alias("minutes"))
+    return rows.select("*", F.get("lines", F.lit(0)).alias("definition"), F.filter("lines", lambda x, i: (i > 0) & (x != "")).alias("points"), F.filter("lines", lambda x: X.code_kind(x) != "").alias("examples"), F.greatest(F.lit(1), F.ceil(F.col("n_chars") / 1000)).alias("minutes"))
 
 
 def _band(n: Column, low: int, high: int, ideal: tuple[int, int], inside: float) -> tuple[Column, Column]:
@@ -70,35 +70,6 @@ def concept_gate(rows: DataFrame, limits: GateLimits = GateLimits()) -> DataFram
     return flat.select("unit_id", F.round(mean, 6).alias("score"), (must & (F.round(mean, 6) >= limits.overall)).alias("passed"), F.concat_ws(",", *(F.when(~F.col(f"p_{n}"), n) for n in checks)).alias("failures"))
 
 
-# name -> (kind, rule): a unit that a hard or soft rule holds for is not exported
-RULES = {
-    "empty_definition": ("hard", lambda: F.coalesce(F.col("definition"), F.lit("")) == ""),
-    "heading_like_definition": ("hard", lambda: (F.size(X.words(F.col("definition"))) <= 3) & ~F.rlike("definition", F.lit(r"[.!?]$"))),
-    "low_confidence": ("hard", lambda: F.col("confidence") < 0.3),
-    "fallback_unit": ("hard", lambda: F.col("fallback")),
-    "generic_boilerplate": ("hard", lambda: F.rlike(F.lower("definition"), F.lit(r"all rights reserved|licensed under"))),
-    "contents_entry": ("hard", lambda: F.rlike("definition", F.lit(r"\.{4,}\s*\d+"))),
-    "placeholder": ("hard", lambda: F.rlike(F.lower("definition"), F.lit(r"\b(todo|lorem ipsum|placeholder)\b"))),
-    "title_too_long": ("soft", lambda: F.length("definition") > 500),
-    "low_quality_score": ("soft", lambda: F.col("quality") < 0.7),
-    "no_example": ("warn", lambda: F.size("examples") == 0),
-    "few_points": ("warn", lambda: F.size("points") < 2),
-}
-
-
-def apply_rules(rows: DataFrame, rules: dict | None = None) -> DataFrame:
-    """unit_id, concept, stage, can_export, hard, soft, warnings: names of the rules that hold, by kind."""
-    rules = rules or RULES
-    names = lambda kind: F.concat_ws(",", *(F.when(F.coalesce(rule(), F.lit(False)), name) for name, (k, rule) in rules.items() if k == kind))
-    flat = rows.select("unit_id", "concept", "stage", names("hard").alias("hard"), names("soft").alias("soft"), names("warn").alias("warnings"))
-    return flat.select("unit_id", "concept", "stage", ((F.col("hard") == "") & (F.col("soft") == "")).alias("can_export"), "hard", "soft", "warnings")
-
-
-def rule_statistics(checked: DataFrame) -> DataFrame:
-    """rule, units of the hard rules."""
-    return checked.select(F.explode(F.split("hard", ",")).alias("rule")).filter("rule <> ''").groupBy("rule").agg(F.count("*").alias("units"))
-
-
 def stage_coverage(rows: DataFrame) -> DataFrame:
     """concept, units, and for each stage whether a unit has it; complete if all do."""
     has = [F.max((F.col("stage") == s).cast("int")).alias(s.lower()) for s in STAGES]
@@ -106,12 +77,6 @@ def stage_coverage(rows: DataFrame) -> DataFrame:
     return out.withColumn("complete", sum((F.col(s.lower()) for s in STAGES), F.lit(0)) == len(STAGES))
 
 
-def student_ready(checked: DataFrame) -> DataFrame:
-    """concept, exportable, blocked: a concept whose core explanation is blocked is blocked as a whole."""
-    core = checked.groupBy("concept").agg(F.max(((F.col("stage") == "L3_explanation") & ~F.col("can_export")).cast("int")).alias("core"), F.sum(F.col("can_export").cast("int")).alias("ok"), F.count("*").alias("n"))
-    return core.select("concept", F.when(F.col("core") == 1, 0).otherwise(F.col("ok")).alias("exportable"), F.when(F.col("core") == 1, F.col("n")).otherwise(F.col("n") - F.col("ok")).alias("blocked"))
-
-
 def boilerplate(rows: DataFrame, longest: int = 20, times: int = 3) -> DataFrame:
     """text, units of definitions and points that three or more places share."""
     each = rows.select("unit_id", F.explode(F.concat(F.array("definition"), "points")).alias("t")).select("unit_id", F.lower(X.strip(F.col("t"))).alias("text")).filter(F.length("text") > longest)

@@ -44,20 +44,6 @@ SELECT text, count(*) AS places, count(DISTINCT unit_id) AS units FROM x WHERE l
 query("gat6_library_ratios", f"""WITH {U}, c AS (SELECT concept, max((stage = 'L2_hint_plus_example')::INT) AS l2, max((stage = 'L3_explanation')::INT) AS l3 FROM u GROUP BY concept), f AS (SELECT avg(fallback::INT) AS fallback_ratio FROM u)
 SELECT round(avg(l2), 6) AS l2_coverage, round(avg(l3), 6) AS l3_coverage, round(any_value(fallback_ratio), 6) AS fallback_ratio FROM c, f""")(
     lambda t: (lambda u: u.groupBy("concept").agg(F.max((F.col("stage") == "L2_hint_plus_example").cast("int")).alias("a"), F.max((F.col("stage") == "L3_explanation").cast("int")).alias("b"), F.sum(F.col("fallback").cast("int")).alias("f"), F.count("*").alias("n")).agg(F.round(F.avg("a"), 6).alias("l2_coverage"), F.round(F.avg("b"), 6).alias("l3_coverage"), F.round(F.sum("f") / F.sum("n"), 6).alias("fallback_ratio")))(un(t)))
-RULES = {
-    "empty_definition": ("hard", "coalesce(definition, '') = ''"), "heading_like_definition": ("hard", "len(list_filter(regexp_split_to_array(definition, '[\\s\\x0b]+'), lambda x: x <> '')) <= 3 AND NOT regexp_matches(definition, '[.!?]$')"),
-    "low_confidence": ("hard", "confidence < 0.3::DOUBLE"), "fallback_unit": ("hard", "fallback"), "generic_boilerplate": ("hard", "regexp_matches(lower(definition), 'all rights reserved|licensed under')"),
-    "contents_entry": ("hard", "regexp_matches(definition, '\\.{4,}\\s*\\d+')"), "placeholder": ("hard", "regexp_matches(lower(definition), '\\b(todo|lorem ipsum|placeholder)\\b')"),
-    "title_too_long": ("soft", "length(definition) > 500"), "low_quality_score": ("soft", "quality < 0.7"), "no_example": ("warn", "len(examples) = 0"), "few_points": ("warn", "len(points) < 2"),
-}
-_names = lambda k: "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, (kind, c) in RULES.items() if kind == k) + ")"
-CHECKED = f"r AS (SELECT unit_id, concept, stage, {_names('hard')} AS hard, {_names('soft')} AS soft, {_names('warn')} AS warnings FROM u), checked AS (SELECT unit_id, concept, stage, hard = '' AND soft = '' AS can_export, hard, soft, warnings FROM r)"
-ck = lambda t: G.apply_rules(un(t))
-query("flt1_rule_engine", f"WITH {U}, {CHECKED} SELECT * FROM checked")(ck)
-query("flt2_student_ready", f"WITH {U}, {CHECKED}, c AS (SELECT concept, max((stage = 'L3_explanation' AND NOT can_export)::INT) AS core, sum(can_export::INT)::BIGINT AS ok, count(*) AS n FROM checked GROUP BY concept) SELECT concept, CASE WHEN core = 1 THEN 0 ELSE ok END AS exportable, CASE WHEN core = 1 THEN n ELSE n - ok END AS blocked FROM c")(lambda t: G.student_ready(ck(t)))
-query("flt3_rule_statistics", f"WITH {U}, {CHECKED}, s AS (SELECT unnest(string_split(hard, ',')) AS rule FROM checked) SELECT rule, count(*) AS units FROM s WHERE rule <> '' GROUP BY rule")(lambda t: G.rule_statistics(ck(t)))
-query("flt4_level_filter", f"WITH {U} SELECT unit_id, CASE WHEN confidence >= 0.9 AND len(points) > 0 THEN 'strict' WHEN confidence >= 0.7 OR NOT fallback THEN 'production' ELSE 'development' END AS level FROM u")(
-    lambda t: un(t).select("unit_id", F.when((F.col("confidence") >= 0.9) & (F.size("points") > 0), "strict").when((F.col("confidence") >= 0.7) | ~F.col("fallback"), "production").otherwise("development").alias("level")))
 query("dia1_stage_coverage", f"WITH {U}, s AS (SELECT concept, count(*) AS units, " + ", ".join(f"max((stage = '{x}')::INT) AS {x.lower()}" for x in G.STAGES) + " FROM u GROUP BY concept) SELECT *, " + " + ".join(x.lower() for x in G.STAGES) + f" = {len(G.STAGES)} AS complete FROM s")(lambda t: G.stage_coverage(un(t)))
 query("dia2_stage_pivot", f"WITH {U} SELECT concept, " + ", ".join(f"count(*) FILTER (stage = '{x}') AS {x.lower()}" for x in G.STAGES) + " FROM u GROUP BY concept")(
     lambda t: (lambda p: p.select("concept", *(F.coalesce(F.col(x), F.lit(0)).alias(x.lower()) for x in G.STAGES)))(un(t).groupBy("concept").pivot("stage", G.STAGES).count()))

@@ -14,7 +14,7 @@ from ..operators import sqltext as S
 from ..operators import traces as T
 from .cleaning import NL, _bleed, _cov, _pages, gib_sql, per_document, rx
 from .concepts import CONCEPTS_SQL, EDGES_SQL, spark_query
-from .gates import CHECKED, H, RULES, U, ck, hi, un
+from .gates import H, U, hi, un
 from .registry import query, sql_text
 from .sqltext import V as SNIPPETS
 from .traces import DECIDED, ESC, STATE, n, tr
@@ -55,13 +55,9 @@ query("srs6_statistics", f"WITH {H} SELECT concept, count(*) AS answers, count(D
 query("ltb4_saved_units", "SELECT o_custkey AS learner, l_partkey AS unit, min(o_orderdate) AS saved FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL")(
     lambda t: t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("learner"), F.col("l_partkey").alias("unit")).agg(F.min("o_orderdate").alias("saved")))
 
-# --- rules --------------------------------------------------------------------------
-for _name, (_kind, _condition) in RULES.items():
-    query(f"rul_{_name}", f"WITH {U} SELECT unit_id FROM u WHERE {_condition}")(lambda t, k=_name: un(t).filter(F.coalesce(G.RULES[k][1](), F.lit(False))).select("unit_id"))
-query("flt5_custom_rules", f"WITH {U}, {CHECKED} SELECT concept, sum(can_export::INT)::BIGINT AS exported, count(*) AS units, round(avg(can_export::INT), 6) AS pass_rate FROM checked GROUP BY concept")(
-    lambda t: ck(t).groupBy("concept").agg(F.sum(F.col("can_export").cast("int")).alias("exported"), F.count("*").alias("units"), F.round(F.avg(F.col("can_export").cast("int")), 6).alias("pass_rate")))
-query("dia4_orphan_sources", "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT 'src' || s_suppkey FROM supplier WHERE s_suppkey < 15)")(
-    lambda t: t("documents").select("source").distinct().join(t("supplier").filter("s_suppkey < 15").select(F.concat(F.lit("src"), F.col("s_suppkey").cast("string")).alias("source")), "source", "left_anti"))
+# --- curated coverage: sources of documents that no supplier stands for
+query("dia4_orphan_sources", "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT 'src' || s_suppkey FROM supplier)")(
+    lambda t: t("documents").select("source").distinct().join(t("supplier").select(F.concat(F.lit("src"), F.col("s_suppkey").cast("string")).alias("source")), "source", "left_anti"))
 
 # --- concepts and SQL ------------------------------------------------------------------
 spark_query("con12_topic_suggestions", f"""WITH {CONCEPTS_SQL}, d AS (SELECT conv_id, turn, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS w FROM conversations), s AS (SELECT conv_id, turn, id, len(list_intersect(w, keywords)) AS hits FROM d, concepts)
