@@ -5,6 +5,8 @@ Java's `\\w` is ASCII, so word characters are spelt as letters, digits and `_`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ OCR_FIXES = [
 PLAIN_CHARACTERS = [("·", " "), ("―", "-"), ("—", "-"), ("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"')]
 # Statement words that open a line of SQL.
 SQL_LINE_STARTS = ["SELECT ", "FROM ", "WHERE ", "INSERT ", "UPDATE ", "DELETE ", "CREATE ", "ALTER ", "DROP ", "JOIN ", "GROUP ", "ORDER ", "HAVING ", "LIMIT ", "UNION ", "VALUES ", "AND ", "OR "]
+# Lines of chapters, page numbers, sections and figures.
 CHAPTER_LINE = r"(?mi)^Chapter\s+\d+\s+.*?\d{1,3}\s*$"
 PAGE_NUMBER_LINE = r"(?m)^\s*\d{1,3}\s*$"
 SECTION_LINE = r"(?mi)^Section\s+\d+\s+.*?$"
@@ -51,13 +54,18 @@ def similarity_hash(c: Column) -> Column:
     return F.md5(fingerprint(c).cast("binary"))
 
 
+def bound(c: Column, body: Callable[[Column], Column]) -> Column:
+    """body(c) with c computed once: an array of one element binds it, whatever else names it."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
 def drop_near_paragraphs(c: Column, least: int = 20, ratio: float = 0.95) -> Column:
     """Paragraphs (at blank lines) whose fingerprint is held by, or holds, a kept one of nearly its length go; short ones stay."""
-    paragraphs = F.transform(F.split(c, "\n\n", -1), lambda p: F.struct(p.alias("p"), fingerprint(p).alias("f"), (F.length(strip(p)) >= least).alias("long")))
+    paragraphs = lambda c: F.transform(F.split(c, "\n\n", -1), lambda p: F.struct(p.alias("p"), fingerprint(p).alias("f"), (F.length(strip(p)) >= least).alias("long")))
     empty = F.struct(F.array().cast("array<string>").alias("kept"), F.array().cast("array<string>").alias("seen"))
 
     def near(seen: Column, f: Column) -> Column:
-        return F.exists(seen, lambda s: (F.contains(s, f) | F.contains(f, s)) & (F.least(F.length(s), F.length(f)) >= ratio * F.greatest(F.length(s), F.length(f))))
+        return F.exists(seen, lambda s: (F.least(F.length(s), F.length(f)) >= ratio * F.greatest(F.length(s), F.length(f))) & (F.contains(s, f) | F.contains(f, s)))
 
     def step(acc: Column, x: Column) -> Column:
         drop = x["long"] & near(acc["seen"], x["f"])
@@ -65,16 +73,17 @@ def drop_near_paragraphs(c: Column, least: int = 20, ratio: float = 0.95) -> Col
         seen = F.when(drop | ~x["long"], acc["seen"]).otherwise(F.array_append(acc["seen"], x["f"]))
         return F.struct(kept.alias("kept"), seen.alias("seen"))
 
-    return F.when(F.length(c) < least, c).otherwise(F.aggregate(paragraphs, empty, step, lambda acc: F.array_join(acc["kept"], "\n\n")))
+    # a text of one paragraph has nothing to compare
+    return bound(c, lambda x: F.when((F.length(x) < least) | ~F.contains(x, F.lit("\n\n")), x).otherwise(F.aggregate(paragraphs(x), empty, step, lambda acc: F.array_join(acc["kept"], "\n\n"))))
 
 
 def drop_repeated_lines(c: Column, repeats: int = 3) -> Column:
     """Every copy of a line of two or more characters that comes `repeats` times or more (stripped, lower case) goes."""
-    lines = F.split(c, "\n", -1)
     norm = lambda x: F.lower(strip(x))
     # in sorted order a repeated line equals the one repeats - 1 places on
-    often = F.transform(F.array(F.array_sort(F.filter(F.transform(lines, norm), lambda x: F.length(x) >= 2))), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(F.get(s, i + (repeats - 1)) == x, F.lit(False)))))
-    return F.element_at(F.transform(often, lambda o: F.array_join(F.filter(lines, lambda x: ~F.array_contains(o, norm(x))), "\n")), 1)
+    often = lambda lines: bound(F.array_sort(F.filter(F.transform(lines, norm), lambda x: F.length(x) >= 2)), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(F.get(s, i + (repeats - 1)) == x, F.lit(False)))))
+    kept = lambda lines: bound(often(lines), lambda o: F.when(F.size(o) == 0, F.array_join(lines, "\n")).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains(o, norm(x))), "\n")))
+    return bound(F.split(c, "\n", -1), kept)
 
 
 def join_lines(c: Column) -> Column:

@@ -9,9 +9,19 @@ from ..functions import quality as Q
 from ..functions import text as X
 
 
-def pages(docs: DataFrame) -> DataFrame:
-    """doc, page, text: each source is a document whose pages come by doc_id."""
-    return docs.select(F.col("source").alias("doc"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("page"), "text")
+def pages(docs: DataFrame, keep: str = "text", bits: int = 16) -> DataFrame:
+    """doc, page, `keep`: each source is a document whose pages come by doc_id.
+
+    Pages are numbered within blocks of 2**bits ids, so that a source of any size
+    is many tasks' work; what the blocks before hold is a running sum over blocks.
+    """
+    rows = docs.select(F.col("source").alias("doc"), F.shiftright("doc_id", bits).alias("block"), "doc_id", *([keep] if keep != "doc_id" else []))
+    sizes = rows.groupBy("doc", "block").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("doc").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col("doc").alias("d"), F.col("block").alias("b"), F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("doc", "block").orderBy("doc_id"))
+    numbered = rows.withColumn("place", place).join(sizes, F.col("doc").eqNullSafe(F.col("d")) & F.col("block").eqNullSafe(F.col("b")))
+    return numbered.select("doc", (F.col("before") + F.col("place")).cast("int").alias("page"), keep)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -77,12 +87,18 @@ def unique_slugs(rows: DataFrame) -> DataFrame:
     return rows.withColumn("k", k).select("doc_id", F.when(F.col("k") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.col("k").cast("string"))).alias("alias"))
 
 
-def extraction_quality(rows: DataFrame, by: str, order: str) -> DataFrame:
-    """by, total_chars, is_quality_good, reason over the joined texts of a group; the first rule that fails."""
-    joined = rows.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(order, "text"))).alias("l")).select(by, F.array_join("l.text", " ").alias("text"))
-    q = joined.select(by, *(c.alias(n) for n, c in Q.text_quality(F.col("text")).items()))
-    reason = F.when(F.col("total_chars") < Q.MIN_CHARS, "too_short").when(F.col("readable_ratio") < Q.MIN_READABLE, "unreadable").when(F.col("gibberish_ratio") > Q.MAX_GIBBERISH, "gibberish").otherwise("good")
-    return q.select(by, "total_chars", "is_quality_good", reason.alias("reason"))
+def extraction_quality(rows: DataFrame, by: str) -> DataFrame:
+    """by, total_chars, is_quality_good, reason over the texts of a group joined by blanks; the first rule that fails.
+
+    No pattern holds a blank, so what the joined text would give are sums over its parts.
+    """
+    q = rows.select(by, *(c.alias(n) for n, c in Q.text_quality(F.col("text")).items()))
+    gaps = F.count("total_chars") - 1
+    q = q.groupBy(by).agg((F.sum("total_chars") + gaps).alias("total_chars"), (F.sum("readable_chars") + gaps).alias("readable"), F.sum("gibberish_patterns").alias("bad"))
+    readable, bad = Q.share(F.col("readable"), F.col("total_chars")), Q.share(F.col("bad"), F.col("total_chars"))
+    good = (F.col("total_chars") >= Q.MIN_CHARS) & (readable >= Q.MIN_READABLE) & (bad <= Q.MAX_GIBBERISH)
+    reason = F.when(F.col("total_chars") < Q.MIN_CHARS, "too_short").when(readable < Q.MIN_READABLE, "unreadable").when(bad > Q.MAX_GIBBERISH, "gibberish").otherwise("good")
+    return q.select(by, "total_chars", good.alias("is_quality_good"), reason.alias("reason"))
 
 
 def document_coverage(rows: DataFrame, by: str) -> DataFrame:

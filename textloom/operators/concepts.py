@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 #: A small registry of our own: id, name, keywords, category, difficulty.
 CONCEPTS = [
     ("select-basic", "select basics", ["select", "column", "query"], "query", "beginner"), ("where-filter", "filtering rows", ["where", "filter", "condition"], "query", "beginner"),
@@ -57,20 +59,18 @@ def resolve(ids: DataFrame, concepts: DataFrame, aliases: DataFrame) -> DataFram
     return rows.select("raw", F.coalesce("known", "to", "n").alias("id"), how.alias("how"))
 
 
-def closure(links: DataFrame, most: int = 64) -> DataFrame:
+def closure(links: DataFrame) -> DataFrame:
     """src, dst, depth: every reachable pair with its least number of steps; rounds end when no pair is new."""
     found = links.select("src", "dst").distinct().withColumn("depth", F.lit(1))
     step = links.select(F.col("src").alias("mid"), F.col("dst").alias("to")).distinct()
-    ahead = found
-    for depth in range(2, most):
+    ahead, depth = found, 1
+    while True:
+        depth += 1
         ahead = ahead.join(step, F.col("dst") == F.col("mid")).select("src", F.col("to").alias("dst")).distinct().join(found, ["src", "dst"], "left_anti").withColumn("depth", F.lit(depth))
-        # the frontier of a small ontology: cut its lineage by value
-        rows = ahead.collect()
-        if not rows:
-            break
-        ahead = links.sparkSession.createDataFrame(rows, "src string, dst string, depth int")
+        ahead = cut(ahead, "closure")
+        if ahead.isEmpty():
+            return found
         found = found.unionByName(ahead)
-    return found
 
 
 def learning_order(links: DataFrame, goal: str) -> DataFrame:
@@ -101,6 +101,9 @@ def merge_records(records: DataFrame) -> DataFrame:
 
 
 def manifest(sections: DataFrame, chunks: DataFrame) -> DataFrame:
-    """concept, pages, chunk_ids: sections' pages joined with chunks; pages sorted and distinct, chunks in order."""
+    """concept, page, position, chunks, first_chunk, last_chunk: a row for each page of a concept, however many chunks it has."""
     pages = sections.select("concept", F.explode("pages").alias("page")).distinct()
-    return pages.join(chunks, "page").groupBy("concept").agg(F.sort_array(F.collect_set("page")).alias("pages"), F.transform(F.sort_array(F.collect_list(F.struct("page", "chunk"))), lambda x: x["chunk"]).alias("chunk_ids"))
+    # chunks are counted by page before they meet the concepts
+    counts = chunks.groupBy("page").agg(F.count("*").alias("chunks"), F.min("chunk").alias("first_chunk"), F.max("chunk").alias("last_chunk"))
+    place = F.row_number().over(Window.partitionBy("concept").orderBy("page"))
+    return pages.join(counts, "page").select("concept", "page", place.alias("position"), "chunks", "first_chunk", "last_chunk")
\ No newline at end of file

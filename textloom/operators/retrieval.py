@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,15 +80,49 @@ def best_size(words: Column) -> Column:
     return F.when(words <= 100, words).otherwise(F.greatest(F.lit(100), F.least(F.lit(200), F.floor(words / 5))))
 
 
-def top_chunks(queries: DataFrame, chunks: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, rank, doc_id, n, score: the k nearest chunks of each query, ties by (doc_id, n).
+def top_chunks(queries: DataFrame, chunks: DataFrame, k: int = 5, block: int = 4096) -> DataFrame:
+    """query_id, rank, doc_id, n, score: the k nearest chunks of each query by cosine (nine digits), ties by (doc_id, n).
 
-    queries (query_id, q) are the stated query set and are broadcast; a partial
-    top k runs before the shuffle.
+    queries (query_id, q) are the stated query set. They come to the driver in
+    blocks of `block` vectors and are met by every chunk with one matrix product a batch;
+    each batch gives its k best of a query, so what is shuffled does not grow with a batch.
     """
-    pairs = chunks.crossJoin(F.broadcast(queries)).select("query_id", "doc_id", "n", V.cosine(F.col("q"), F.col("v")).alias("score"))
+    spark = queries.sparkSession
+
+    def met(ids: list[int], q: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                v = np.array(batch.column("v").to_pylist(), dtype=float)
+                norm = np.sqrt((v * v).sum(axis=1))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    score = np.round(np.where((norm[:, None] > 0) & (q_norm > 0), (v @ q.T) / (norm[:, None] * q_norm), 0.0), 9)
+                doc, n = batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()
+                for j, i in enumerate(ids):
+                    best = np.lexsort((n, doc, -score[:, j]))[:k]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), i, dtype=np.int64)), pa.array(doc[best].astype(np.int64)), pa.array(n[best].astype(np.int64)), pa.array(score[best, j])], ["query_id", "doc_id", "n", "score"])
+
+        q_norm = np.sqrt((q * q).sum(axis=1))
+        return run
+
+    parts, held = [], []
+
+    def flush() -> None:
+        if held:
+            parts.append(chunks.select("doc_id", "n", "v").mapInArrow(met([r["query_id"] for r in held], np.array([r["q"] for r in held], dtype=float)), "query_id long, doc_id long, n long, score double"))
+            held.clear()
+
+    for row in queries.select("query_id", "q").toLocalIterator():
+        held.append(row)
+        if len(held) == block:
+            flush()
+    flush()
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, doc_id long, n long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "n")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "n", "score")
+    every = reduce(DataFrame.unionByName, parts)
+    return every.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "n", "score")
 
 
 def chunk_quality(chunks: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Checks of SQL snippets as text, rewriting onto practice schemas, and a bank of misconception patterns.
 
-Tables: snippets (id, sql, concept). Pattern banks are small fixed lists of ours.
+Tables: snippets (id, sql, concept). Pattern banks are small fixed lists.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 
 KINDS = {"SELECT": "SELECT", "INSERT": "INSERT", "UPDATE": "UPDATE", "DELETE": "DELETE", "CREATE": "CREATE", "ALTER": "ALTER", "DROP": "DROP", "WITH": "CTE"}
-# name -> pattern of what is always wrong
+# Name -> pattern of what is always wrong
 FAULTS = {"duplicate_from": r"(?i)\bFROM\s+FROM\b", "duplicate_where": r"(?i)\bWHERE\s+WHERE\b", "duplicate_select": r"(?i)\bSELECT\s+SELECT\b", "double_star": r"\*\*", "double_equals": r"=="}
-# (id, concept, order, pattern): typical mistakes of learners, ours
+# Patterns of comparisons with nulls.
+NULL_MISTAKES = [("null-equals", "where-filter", 1, r"(?i)=\s*NULL\b"), ("not-null-differs", "where-filter", 2, r"(?i)(!=|<>)\s*NULL\b")]
+# (id, concept, order, pattern): typical mistakes of learners, ours but for the first two
 MISCONCEPTIONS = [
-    ("null-equals", "where-filter", 1, r"(?i)=\s*NULL\b"), ("not-null-differs", "where-filter", 2, r"(?i)(<>|!=)\s*NULL\b"), ("aggregate-in-where", "group-by", 1, r"(?i)\bWHERE\b[^;]*\b(COUNT|SUM|AVG|MIN|MAX)\s*\("),
+    *NULL_MISTAKES, ("aggregate-in-where", "group-by", 1, r"(?i)\bWHERE\b[^;]*\b(COUNT|SUM|AVG|MIN|MAX)\s*\("),
     ("having-without-group", "group-by", 2, r"(?i)^[^;]*\bHAVING\b"), ("comma-join", "inner-join", 1, r"(?i)\bFROM\s+\w+\s*,\s*\w+"), ("join-without-on", "inner-join", 2, r"(?i)\bJOIN\s+\w+\s*(;|$|WHERE\b)"),
     ("select-star", "select-basic", 1, r"(?i)SELECT\s+\*"), ("like-without-wildcard", "where-filter", 3, r"(?i)\bLIKE\s+'[^%_']*'"), ("order-by-number", "order-by", 1, r"(?i)\bORDER\s+BY\s+\d"),
     ("distinct-call", "select-basic", 2, r"(?i)\bDISTINCT\s*\("), ("quoted-number", "where-filter", 4, r"=\s*'\d+'"), ("update-without-where", "where-filter", 5, r"(?i)^UPDATE\s+\w+\s+SET\b[^;]*$"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .cleaning import lines
 
-# Patterns that tell what a block of a textbook is.
+# Our own patterns that tell what a block of a textbook is.
 ADMIN = r"(?i)\b(copyright|all rights reserved|licensed under|isbn|published by|acknowledg)"
 EXERCISE = r"(?i)^\s*(exercise|problem|question)s?\b"
 FIGURE = r"(?i)^\s*(figure|fig\.|table)\s+\d+"

@@ -165,7 +165,7 @@ query("qlt2_extraction_quality", f"""
 WITH d AS (SELECT source, string_agg(text, ' ' ORDER BY doc_id) AS text FROM documents GROUP BY source),
 q AS (SELECT source, {_total} AS total_chars, {_read} AS readable_chars, {_bad} AS gibberish_patterns FROM d), r AS ({_quality} FROM q)
 SELECT source, total_chars, is_quality_good, CASE WHEN total_chars < 500 THEN 'too_short' WHEN readable_ratio < 0.7 THEN 'unreadable' WHEN gibberish_ratio > 0.3 THEN 'gibberish' ELSE 'good' END AS reason FROM r
-""")(lambda t: C.extraction_quality(t("documents").select(F.col("source"), "doc_id", "text"), "source", "doc_id"))
+""")(lambda t: C.extraction_quality(t("documents").select("source", "text"), "source"))
 
 _cov = f"greatest(0.0::DOUBLE, ({share_sql(_read, _total)}) - 2 * ({share_sql(gib_sql('text', Q.MORE_GIBBERISH), _total)}))"
 query("qlt4_text_coverage", f"SELECT doc_id, {_cov} AS coverage, ({_cov}) >= 0.7 AND length(text) >= 50 AS meets_threshold FROM documents")(

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import concepts as C
+from ..operators.cleaning import pages
 from .registry import QUERIES, query, table
 
 CONCEPTS_SQL = "concepts(id, name, keywords, category, difficulty) AS (VALUES " + ", ".join(f"('{i}', '{n}', {k!r}, '{c}', '{d}')" for i, n, k, c, d in C.CONCEPTS) + ")"
@@ -36,10 +37,10 @@ SELECT key, id, round(confidence, 9) AS confidence, CASE WHEN confidence = n THE
     lambda s, t: C.match_headings(t("conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"), F.lower(F.element_at(F.split("text", "\n"), 1)).alias("heading")), C.registry(s)).withColumn("confidence", F.round("confidence", 9)))
 spark_query("con5_registry_statistics", f"WITH {CONCEPTS_SQL} SELECT category, difficulty, count(*) AS concepts FROM concepts GROUP BY ALL")(lambda s, t: C.registry(s).groupBy("category", "difficulty").agg(F.count("*").alias("concepts")))
 query("con6_chunks_for_pages", "WITH p AS (SELECT source AS doc, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, doc_id FROM documents), w AS (SELECT DISTINCT 'src' || (item_id % 20) AS doc, 1 + item_id % 7 AS page FROM benchmark) SELECT doc, page, doc_id FROM p SEMI JOIN w USING (doc, page)")(
-    lambda t: t("documents").select(F.col("source").alias("doc"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("page"), "doc_id").join(t("benchmark").select(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("doc"), (1 + F.col("item_id") % 7).cast("int").alias("page")).distinct(), ["doc", "page"], "left_semi"))
-query("con7_manifest", """WITH s AS (SELECT p_brand AS concept, p_size AS page FROM part), c AS (SELECT l_partkey % 50 + 1 AS page, l_orderkey AS chunk FROM lineitem WHERE l_linenumber = 1), d AS (SELECT DISTINCT concept, page FROM s)
-SELECT concept, array_to_string(list_sort(list(DISTINCT page)), ',') AS pages, count(*) AS chunks, min(chunk) AS first_chunk FROM d JOIN c USING (page) GROUP BY concept""")(
-    lambda t: C.manifest(t("part").groupBy(F.col("p_brand").alias("concept")).agg(F.collect_set(F.col("p_size").cast("long")).alias("pages")), t("lineitem").filter("l_linenumber = 1").select((F.col("l_partkey") % 50 + 1).cast("long").alias("page"), F.col("l_orderkey").alias("chunk"))).select("concept", F.array_join("pages", ",").alias("pages"), F.size("chunk_ids").cast("long").alias("chunks"), F.array_min("chunk_ids").alias("first_chunk")))
+    lambda t: pages(t("documents"), "doc_id").join(t("benchmark").select(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("doc"), (1 + F.col("item_id") % 7).cast("int").alias("page")).distinct(), ["doc", "page"], "left_semi"))
+query("con7_manifest", """WITH d AS (SELECT DISTINCT p_brand AS concept, p_size AS page FROM part), c AS (SELECT o_custkey % 50 + 1 AS page, o_orderkey AS chunk FROM orders)
+SELECT concept, page, row_number() OVER (PARTITION BY concept ORDER BY page) AS position, count(*) AS chunks, min(chunk) AS first_chunk, max(chunk) AS last_chunk FROM d JOIN c USING (page) GROUP BY concept, page""")(
+    lambda t: C.manifest(t("part").select(F.col("p_brand").alias("concept"), F.array(F.col("p_size").cast("long")).alias("pages")), t("orders").select((F.col("o_custkey") % 50 + 1).cast("long").alias("page"), F.col("o_orderkey").alias("chunk"))))
 _raw = [i for i, *_ in C.CONCEPTS] + ["Group By", "inner_join", " window ", "joins", "grouping", "old-topic", "unknown"]
 spark_query("con8_resolve_ids", f"""WITH {CONCEPTS_SQL}, {ALIASES_SQL}, r(raw) AS (VALUES {', '.join(f"('{x}')" for x in _raw)}), n AS (SELECT raw, regexp_replace(lower(trim(raw)), '[_\\s]+', '-', 'g') AS norm FROM r)
 SELECT raw, coalesce(e.id, a.target, m.id) AS id, CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN a.target IS NOT NULL THEN 'alias' WHEN m.id IS NOT NULL THEN 'normalised' ELSE 'none' END AS how

@@ -12,6 +12,7 @@ from ..operators import concepts as C
 from ..operators import gates as G
 from ..operators import sqltext as S
 from ..operators import traces as T
+from ..operators.cleaning import pages
 from .cleaning import NL, _bleed, _cov, _pages, gib_sql, per_document, rx
 from .concepts import CONCEPTS_SQL, EDGES_SQL, spark_query
 from .gates import H, U, hi, un
@@ -72,9 +73,9 @@ spark_query("sql2_batch_summary", f"WITH {SNIPPETS}, k AS (SELECT concept, trim(
     lambda s, t: S.snippets(s).select("concept", F.trim(F.coalesce("sql", F.lit(""))).alias("s")).groupBy("concept").agg(F.count("*").alias("snippets"), F.sum(((F.col("s") != "") & F.endswith("s", F.lit(";"))).cast("int")).alias("closed")))
 spark_query("mis3_remediation_path", f"WITH {EDGES_SQL}, bank(concept, m) AS (VALUES {', '.join(f"('{c}', '{m}')" for m, c, _, _ in S.MISCONCEPTIONS)}) SELECT m AS misconception, concept, coalesce(string_agg(src, ',' ORDER BY src), '') AS first FROM bank LEFT JOIN edges ON dst = concept AND hard GROUP BY ALL")(
     lambda s, t: s.createDataFrame([(m, c) for m, c, _, _ in S.MISCONCEPTIONS], "misconception string, concept string").join(C.edges(s).filter("hard").select("src", F.col("dst").alias("concept")), "concept", "left").groupBy("misconception", "concept").agg(F.array_join(F.sort_array(F.collect_list("src")), ",").alias("first")))
-query("mrg2_concept_map", "SELECT source AS concept, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS chunk_ids, min(doc_id) AS first, count(*) AS chunks FROM documents GROUP BY source")(
-    lambda t: t("documents").groupBy(F.col("source").alias("concept")).agg(F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("chunk_ids"), F.min("doc_id").alias("first"), F.count("*").alias("chunks")))
-query("snk5_markdown", f"SELECT source, string_agg('## ' || doc_id || {NL} || string_split(text, {NL})[1], {NL} ORDER BY doc_id) AS markdown FROM documents GROUP BY source")(
-    lambda t: t("documents").groupBy("source").agg(F.sort_array(F.collect_list(F.struct("doc_id", F.concat(F.lit("## "), F.col("doc_id").cast("string"), F.lit("\n"), F.element_at(F.split("text", "\n"), 1)).alias("m")))).alias("l")).select("source", F.array_join("l.m", "\n").alias("markdown")))
+query("mrg2_concept_map", "SELECT source AS concept, doc_id AS chunk_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS position FROM documents")(
+    lambda t: pages(t("documents"), "doc_id").select(F.col("doc").alias("concept"), F.col("doc_id").alias("chunk_id"), F.col("page").alias("position")))
+query("snk5_markdown", f"SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS position, '## ' || doc_id || {NL} || string_split(text, {NL})[1] AS section FROM documents")(
+    lambda t: pages(t("documents").select("source", "doc_id", F.concat(F.lit("## "), F.col("doc_id").cast("string"), F.lit("\n"), F.element_at(F.split("text", "\n"), 1)).alias("section")), "section").select(F.col("doc").alias("source"), F.col("page").alias("position"), "section"))
 query("snk8_html_tables", "SELECT n_nationkey AS id, '<tr><td>' || n_name || '</td><td>' || r_name || '</td></tr>' AS html FROM nation JOIN region ON n_regionkey = r_regionkey")(
     lambda t: t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("id"), F.concat(F.lit("<tr><td>"), "n_name", F.lit("</td><td>"), "r_name", F.lit("</td></tr>")).alias("html")))

@@ -75,8 +75,9 @@ def _tops_of(t):
     return chunks, queries
 
 
-query("ret2_top_chunks")(lambda t: R.top_chunks(*reversed(_tops_of(t))).withColumn("score", F.round("score", 4)))
-query("ret3_success_rate")(lambda t: R.top_chunks(*reversed(_tops_of(t))).join(t("documents").select("doc_id", "text"), "doc_id").join(t("benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("wanted")), "query_id").groupBy("query_id").agg(F.max(F.contains("text", F.col("wanted")).cast("int")).alias("hit")).agg(F.count("*").alias("queries"), F.round(F.avg("hit"), 4).alias("success_rate")))
+query("ret2_top_chunks", f"{_tops} SELECT query_id, rank::INT AS rank, doc_id, n, round(score, 4) AS score FROM r WHERE rank <= 5")(lambda t: R.top_chunks(*reversed(_tops_of(t))).withColumn("score", F.round("score", 4)))
+query("ret3_success_rate", f"{_tops}, h AS (SELECT r.query_id, max(contains(d.text, b.text)::INT) AS hit FROM r JOIN documents d USING (doc_id) JOIN benchmark b ON b.item_id = r.query_id WHERE rank <= 5 GROUP BY r.query_id) SELECT count(*) AS queries, round(avg(hit), 4) AS success_rate FROM h")(
+    lambda t: R.top_chunks(*reversed(_tops_of(t))).join(t("documents").select("doc_id", "text"), "doc_id").join(t("benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("wanted")), "query_id").groupBy("query_id").agg(F.max(F.contains("text", F.col("wanted")).cast("int")).alias("hit")).agg(F.count("*").alias("queries"), F.round(F.avg("hit"), 4).alias("success_rate")))
 _cq = "(CASE WHEN length(text) < 50 THEN 0.5::DOUBLE WHEN length(text) < 100 THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END)"
 query("evl2_chunk_quality", f"WITH {CHUNKS} SELECT doc_id, n::INT AS n, {_cq} AS quality FROM chunks")(lambda t: R.chunk_quality(ch(t).withColumn("v", F.array(F.lit(1.0)))))
 query("evl1_concept_coverage", """
@@ -86,10 +87,11 @@ SELECT (SELECT count(*) FROM e) AS expected, (SELECT count(*) FROM e SEMI JOIN f
     t("part").select(F.col("p_brand").alias("c")).distinct(), t("supplier").select(F.concat(F.lit("Brand#"), (10 + F.col("s_suppkey") % 50).cast("string")).alias("c")).distinct()))
 query("evl3_grades", f"WITH {CHUNKS}, d AS (SELECT doc_id, avg({_cq}) AS s FROM chunks GROUP BY doc_id) SELECT doc_id, round(s, 6) AS score, CASE " + " ".join(f"WHEN s >= {a} THEN '{g}'" for a, g in R.GRADES) + " ELSE 'F' END AS grade FROM d")(
     lambda t: R.chunk_quality(ch(t).withColumn("v", F.array(F.lit(1.0)))).groupBy("doc_id").agg(F.avg("quality").alias("s")).select("doc_id", F.round("s", 6).alias("score"), R.grade(F.col("s")).alias("grade")))
+# the documents that have a label are the baseline, all documents what there is now
 query("evl5_regression", """
-WITH b AS (SELECT source, count(*) AS x FROM documents WHERE doc_id % 20 <> 0 GROUP BY source), c AS (SELECT source, count(*) AS y FROM documents GROUP BY source)
+WITH b AS (SELECT source, count(*) AS x FROM documents SEMI JOIN labels USING (doc_id) GROUP BY source), c AS (SELECT source, count(*) AS y FROM documents GROUP BY source)
 SELECT source, coalesce(x, 0) AS before, coalesce(y, 0) AS now, CASE WHEN y IS NULL THEN 'error' WHEN x IS NULL THEN 'warning' WHEN abs(y - x) / x::DOUBLE > 0.1 THEN 'error' WHEN y <> x THEN 'info' ELSE 'ok' END AS severity FROM b FULL JOIN c USING (source)
-""")(lambda t: R.regression(t("documents").filter("doc_id % 20 <> 0"), t("documents"), "source"))
+""")(lambda t: R.regression(t("documents").join(t("labels"), "doc_id", "left_semi"), t("documents"), "source"))
 query("evl6_manifest_regression", "SELECT * FROM (SELECT 'missing' AS kind, o_orderstatus AS id FROM orders EXCEPT SELECT 'missing', l_linestatus FROM lineitem) UNION ALL SELECT * FROM (SELECT 'extra' AS kind, l_linestatus AS id FROM lineitem EXCEPT SELECT 'extra', o_orderstatus FROM orders)")(
     lambda t: (lambda a, b: a.exceptAll(b).select(F.lit("missing").alias("kind"), "id").union(b.exceptAll(a).select(F.lit("extra").alias("kind"), "id")))(t("orders").select(F.col("o_orderstatus").alias("id")).distinct(), t("lineitem").select(F.col("l_linestatus").alias("id")).distinct()))
 query("evl8_content_hash", "SELECT doc_id, sha256(text) AS sha256 FROM documents")(lambda t: t("documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256")))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.shared import shared_dir
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 RUNS = "user_id long, events long, errors long, longest_run long, current_run long, solved long"
 
@@ -38,13 +40,13 @@ def error_runs(events: DataFrame) -> DataFrame:
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, errors, longest, run, solved = state.get if state.exists else (0, 0, 0, 0, 0)
         rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-        for kind in rows["event_type"]:
-            n += 1
-            if kind == "error":
-                errors, run = errors + 1, run + 1
-                longest = max(longest, run)
-            elif kind == "purchase":
-                solved, run = solved + 1, 0
+        error, purchase = (rows["event_type"] == "error").to_numpy(), (rows["event_type"] == "purchase").to_numpy()
+        # errors since the last purchase, the run that goes on from the batch before included
+        total = np.cumsum(error)
+        since = np.maximum.accumulate(np.where(purchase, total, -run))
+        runs = total - since
+        n, errors, solved = n + len(rows), errors + int(error.sum()), solved + int(purchase.sum())
+        longest, run = max(longest, int(runs.max(initial=0))), int(runs[-1]) if len(runs) else run
         state.update((n, errors, longest, run, solved))
         yield pd.DataFrame([(key[0], n, errors, longest, run, solved)], columns=[c.split()[0] for c in RUNS.split(", ")])
 
@@ -54,7 +56,7 @@ def error_runs(events: DataFrame) -> DataFrame:
 def run_once(stream: DataFrame, mode: str) -> DataFrame:
     """All that a stream has now, through a table in the folder that driver and executors share."""
     spark = stream.sparkSession
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp()}/streams/{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     schema = stream.schema
 
     def write(batch: DataFrame, number: int) -> None:
