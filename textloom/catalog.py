@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import cleaning, concepts, gates, more, retrieval, sqltext, streams, structure, traces, units  # noqa: F401  they register their queries
+from .plans import cleaning, concepts, gates, more, reports, retrieval, sqltext, streams, structure, traces, units  # noqa: F401  they register their queries
 from .plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "cln1_normalize_text"

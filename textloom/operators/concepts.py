@@ -73,6 +73,14 @@ def closure(links: DataFrame) -> DataFrame:
         found = found.unionByName(ahead)
 
 
+def textbook_order(links: DataFrame) -> DataFrame:
+    """id, needs, place: concepts by how many others they need, directly or not, then by id; what is needed comes first where links have no cycle."""
+    nodes = links.select(F.col("src").alias("id")).union(links.select("dst")).distinct()
+    needs = closure(links).groupBy(F.col("dst").alias("id")).agg(F.count_distinct("src").alias("needs"))
+    # the concepts of an ontology are few
+    return nodes.join(needs, "id", "left").select("id", F.coalesce("needs", F.lit(0)).alias("needs")).withColumn("place", F.row_number().over(Window.orderBy("needs", "id")))
+
+
 def learning_order(links: DataFrame, goal: str) -> DataFrame:
     """id, depth of what must be learned before goal by hard links, deepest first by id, goal last."""
     need = closure(links.filter("hard")).filter(F.col("dst") == goal).select(F.col("src").alias("id"), "depth")

@@ -38,9 +38,9 @@ def read_pages(spark: SparkSession, path: str, first: int | None = None, last: i
     return rows if last is None else rows.filter(F.col("page") <= last)
 
 
-def read_traces(spark: SparkSession, path: str) -> DataFrame:
-    """One row per event of all trace files below a folder, seq from 1; files that are no JSON are left out."""
-    found = spark.read.schema(TRACE_SCHEMA).option("multiLine", "true").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
+def read_traces(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """One row per event of all trace files below a folder, seq from 1; a file (or, by_line, a line) that is no JSON is left out."""
+    found = spark.read.schema(TRACE_SCHEMA).option("multiLine", str(not by_line).lower()).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
     rows = found.select("trace_id", F.posexplode("events").alias("pos", "e"))
     return rows.select("trace_id", (F.col("pos") + 1).alias("seq"), "e.*")
 
@@ -69,5 +69,5 @@ def write_index(path: str, chunks: DataFrame) -> str:
 
 
 def write_csv(path: str, rows: DataFrame) -> None:
-    """Reports of a few rows, one file with a header."""
-    rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """Rows with a header in every file."""
+    rows.write.mode("overwrite").csv(path, header=True)
