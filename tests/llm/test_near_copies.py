@@ -203,6 +203,16 @@ def test_null_and_repeated_ids_follow_the_hash(spark):
     assert sorted(map(tuple, got), key=str) == cut_by_brute_force([rows[0], *tie], 100)
 
 
+def test_columns_of_any_name_are_left_alone(spark):
+    text = "0123456789" * 12
+    rows = [(1, text, 7, "a", 3, "k"), (2, text + "end", 8, "b", 4, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id long, rest string, start int, key string")
+    assert sorted(map(tuple, suffix_dedup.dedup(docs).collect()), key=str) == cut_by_brute_force([r[:2] for r in rows], 100)
+    kept = suffix_dedup.kept_texts(docs).orderBy("doc_id").collect()
+    assert [(r["id"], r["rest"], r["start"], r["key"]) for r in kept] == [(7, "a", 3, "k"), (8, "b", 4, "k")]
+    assert kept[1]["text"] == "end"
+
+
 def test_kept_texts_keep_columns(spark):
     rows = [(1, "a" * 10 + "0123456789" * 12, "s", 130), (2, "0123456789" * 12 + "end", "t", 123)]
     out = suffix_dedup.kept_texts(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")).orderBy("doc_id").collect()

@@ -56,3 +56,27 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir):
         assert docs.columns == before.columns
         assert 0 < docs.count() <= before.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_rules", "ngram_jaccard_join", "suffix_array_dedup", "packing"]
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, id long, uid string, tie string, rest string, token long, queue string"
+
+
+def _run(spark, path, rows):
+    spark.createDataFrame(rows, ODD).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return corpus_pipeline.run(spark, str(path))
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    assert _run(spark, tmp_path, []).count() == 0
+
+
+def test_pipeline_with_nulls_repeats_and_other_columns(spark, tmp_path):
+    other = (1, "u", "t", "r", 2, "q")
+    texts = [f"number {i} of some words on rivers and houses that are unlike all others here {i * i} {i + 7} end" for i in range(14)]
+    rows = [(i, t, "en", "s", len(t), *other) for i, t in enumerate(texts)]
+    rows += [(3, texts[3], "en", "s", 0, *other), (None, texts[4], "en", "s", 0, *other), (None, None, None, None, None, *other), (40, "", "en", None, 0, *other), (41, "unlike " * 3000, "en", "s", 0, *other)]
+    found = _run(spark, tmp_path, rows).collect()
+    # every text stays once: copies, empty texts and the one of a single word go
+    assert len({(r["doc_id"], r["doc_tokens"]) for r in found}) == len(texts)
+    assert {r["doc_id"] for r in found} - {None} <= set(range(14))

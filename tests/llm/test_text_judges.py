@@ -137,6 +137,43 @@ def test_isotonic_steps():
     assert values.tolist() == [0.0, 0.5, 1.0]
 
 
+def test_isotonic_fit_equals_its_formula():
+    """The best non-decreasing fit at i: the largest, over starts up to i, of the least mean from there to an end from i on."""
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        n = int(rng.integers(1, 25))
+        scores, y = np.sort(rng.choice(1000, size=n, replace=False)) / 1000.0, rng.integers(0, 2, n).astype(float)
+        steps, values = quality_classifier.isotonic(scores, y)
+        got = values[np.searchsorted(steps, scores, side="right") - 1]
+        wanted = [max(min(y[j : k + 1].mean() for k in range(i, n)) for j in range(i + 1)) for i in range(n)]
+        assert np.allclose(got, wanted)
+
+
+def test_summed_normal_equations_equal_a_ridge_over_all_rows(spark):
+    docs, labels = labelled(spark)
+    model = quality_classifier.fit(docs.repartition(7), labels)
+    rows = quality_classifier._table(quality_classifier.sample(docs, labels, "quality", 4, 2), ["doc_id", "y"])
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(quality_classifier.CALIBRATION_PARTS)) == 0
+    got = rows.withColumn("part", part).toPandas()
+    x, y, held = np.stack(got["x"].to_numpy()), got["y"].to_numpy(dtype=float), got["part"].to_numpy(dtype=bool)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-6))
+    z, target = model.lift(x[~held]), y[~held]
+    # the ridge as least squares over rows and penalties, solved another way
+    side = np.sqrt(quality_classifier.RIDGE) * np.eye(z.shape[1])
+    beta, *_ = np.linalg.lstsq(np.vstack([z, side]), np.concatenate([target, np.zeros(len(side))]), rcond=None)
+    assert np.allclose(model.lift(x) @ beta, model.raw(x), atol=1e-5)
+    raw = model.raw(x[held])
+    steps, values = quality_classifier.isotonic(raw, y[held])
+    assert np.allclose(steps, model.steps) and np.allclose(values, model.values)
+
+
+def test_quality_of_an_empty_table_and_of_equal_rows(spark):
+    docs, labels = labelled(spark)
+    assert quality_classifier.score(docs.limit(0), labels).count() == 0
+    scored = quality_classifier.score(docs, labels).filter("doc_id = 5001").collect()
+    assert len(scored) == 2 and scored[0]["score"] == pytest.approx(scored[1]["score"], abs=1e-12)  # sums of a batch may round otherwise
+
+
 def test_statistics_count_repeats():
     data, offsets = vec.buffers(__import__("pyarrow").array(["a a a a", "", "a b\na b\n"]))
     x = dict(zip(quality_classifier.STATISTICS, quality_classifier.statistics(data, offsets).T))

@@ -8,8 +8,11 @@ regression on labelled documents left out of the fit turns scores into
 probabilities.
 
 Defined results: a null or empty text has the vector of an empty document;
-repeated rows are scored alike; without labelled rows of both kinds every score
-is the share of good labels (0.5 without any). Texts are read whole. labels,
+repeated rows are scored alike, up to the rounding of sums; ties take the same step;
+without labelled rows of both kinds every score is the share of good labels (0.5
+without any); an empty table gives no row; columns beside doc_id and text are
+ignored, whatever their names. 0.96 of a score is the calibrated step, the rest a
+sigmoid of the raw score, which keeps the order inside a step. Texts are read whole. labels,
 lang, source and doc_id are no inputs of a score. No shuffle of texts: the
 labelled sample (at most `rows`) is broadcast by id, everything else is a map.
 """
