@@ -2,6 +2,11 @@
 
 Stages 1 to 4 return the columns of documents; the last returns the pieces of
 packed sequences. Each stage reads all that the one before kept.
+
+Defined results: null and empty texts fail the quality rules and go; of equal and nearly equal
+texts one row stays, whatever their doc_ids (null ones come first); rows of one doc_id are rows of their own;
+texts of any length are read whole; an empty table gives no row; other columns, whatever
+their names, are carried as they are up to the last stage.
 """
 
 from __future__ import annotations
